@@ -41,17 +41,23 @@ def byte_of_char() -> dict[str, int]:
     return table
 
 
+def token_bytes(path: str) -> dict[int, bytes]:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    chars = byte_of_char()
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    found = {i: bytes(chars[c] for c in s) for s, i in spec["model"]["vocab"].items() if s not in added}
+    return found | {i: s.encode() for s, i in added.items()}
+
+
 class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        chars = byte_of_char()
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocab = spec["model"]["vocab"]
-        self.bytes_of: dict[int, bytes] = {i: bytes(chars[c] for c in s) for s, i in vocab.items() if s not in self.added}
-        self.bytes_of.update({i: s.encode() for s, i in self.added.items()})
+        self.bytes_of = token_bytes(path)
         self.id_of = {b: i for i, b in self.bytes_of.items() if i not in self.added.values()}
-        self.longest = max(map(len, self.id_of))
         #: rank of a merge by its two parts, and the parts of each merged token
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
@@ -70,16 +76,17 @@ class Vocabulary:
             left, right = self.parts[token]
             whole[token] = whole[left] and whole[right] and self._seam_holds(left, right, self.made_at[token])
         self.id_of = {b: i for b, i in self.id_of.items() if whole[i]}
-        self._follows: dict[int, bool] = {}
+        self.sizes = {i: len(b) for b, i in self.id_of.items()}
+        self.known_follows: dict[int, bool] = {}
 
     def follows(self, left: int, right: int) -> bool:
         """Whether BPE over the bytes of both ends with exactly these two tokens: no merge across the seam comes in time."""
         key = left << 20 | right
-        known = self._follows.get(key)
+        known = self.known_follows.get(key)
         if known is None:
-            if len(self._follows) > 1 << 20:
-                self._follows.clear()
-            known = self._follows[key] = self._seam_holds(left, right, len(self.rank))
+            if len(self.known_follows) > 400_000:
+                self.known_follows.clear()
+            known = self.known_follows[key] = self._seam_holds(left, right, len(self.rank))
         return known
 
     def _seam_holds(self, left: int, right: int, until: int) -> bool:
@@ -105,13 +112,31 @@ class TrieEncoder:
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
         self.remembered = remembered
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: ids of words met before, as 32-bit numbers
+        self.known: dict[str, bytes] = {}
+        self._beginnings = {b[:k] for b in self.vocabulary.id_of for k in range(len(b) + 1)}
+        self._texts, self._states, self._tokens = [b""], {b"": 0}, [()]
+        self._steps: dict[int, int] = {}
+
+    def _step(self, key: int) -> int:
+        """The state after one more byte: the longest end of what was read that begins a token. Computed when first needed."""
+        text = self._texts[key >> 8] + bytes((key & 255,))
+        while text not in self._beginnings:
+            text = text[1:]
+        state = self._states.get(text)
+        if state is None:
+            state = self._states[text] = len(self._texts)
+            self._texts.append(text)
+            ends = ((len(text) - k, self.vocabulary.id_of.get(text[k:])) for k in range(len(text)))
+            self._tokens.append(tuple((n, i) for n, i in ends if i is not None))
+        self._steps[key] = state
+        return state
 
     def encode_sorted(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
         """The ids of words given in byte order: one walk through their trie, depth first."""
-        id_of, follows, longest = self.vocabulary.id_of, self.vocabulary.follows, self.vocabulary.longest
-        sizes = {i: len(b) for b, i in id_of.items()}
-        last = [-1]  # last token of each prefix on the path; -1 at the root
+        sizes, holds, follows = self.vocabulary.sizes, self.vocabulary.known_follows, self.vocabulary.follows
+        steps, tokens = self._steps, self._tokens
+        last, states = [-1], [0]  # of each prefix on the path: the last token (-1 at the root), and the tokens it can end with
         before = b""
         for word in words:
             shared, most = 0, min(len(word), len(before))
@@ -120,31 +145,44 @@ class TrieEncoder:
             else:
                 while word[shared] == before[shared]:
                     shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], states[shared + 1 :]
+            state = states[-1]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = id_of.get(word[start:end])
-                    if token is not None and (start == 0 or follows(last[start], token)):
-                        last.append(token)
+                key = state << 8 | word[end - 1]
+                state = steps.get(key)
+                if state is None:
+                    state = self._step(key)
+                for size, token in tokens[state]:  # longest first; exactly one may stand here
+                    if size == end:
+                        break
+                    left = last[end - size]
+                    fits = holds.get(left << 20 | token)
+                    if fits is None:
+                        fits = follows(left, token)
+                    if fits:
                         break
                 else:
                     raise ValueError(f"the vocabulary can't encode {word[:end]!r}")
+                last.append(token)
+                states.append(state)
             before, at, ids = word, len(word), []
             while at:
-                ids.append(last[at])
-                at -= sizes[last[at]]
-            yield tuple(reversed(ids))
+                token = last[at]
+                ids.append(token)
+                at -= sizes[token]
+            ids.reverse()
+            yield tuple(ids)
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > self.remembered:
             self.known = {}
         by_bytes = sorted((w.encode("utf-8", "surrogatepass"), w) for w in words)
         for (_, word), ids in zip(by_bytes, self.encode_sorted([b for b, _ in by_bytes]), strict=True):
-            self.known[word] = ids
+            self.known[word] = array("i", ids).tobytes()
 
-    def encode_batch(self, texts: list[str | None]) -> list[array]:
+    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        out: list[array] = []
+        out: list[np.ndarray] = []
         held: list[list] = []
         chars = 0
         for text in texts:
@@ -171,7 +209,7 @@ class TrieEncoder:
             found += self.words.findall(piece) if token is None else [token]
         return found
 
-    def _encode_held(self, held: list[list]) -> list[array]:
+    def _encode_held(self, held: list[list]) -> list[np.ndarray]:
         new = set(chain.from_iterable(held)).difference(self.known)
         new = {w for w in new if isinstance(w, str)}
         lost = self.known if len(self.known) + len(new) <= self.remembered else None
@@ -182,29 +220,29 @@ class TrieEncoder:
         out = []
         for words in held:
             try:
-                out.append(array("i", chain.from_iterable(map(known.__getitem__, words))))
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32))
             except KeyError:  # an added token's id stands among the words
-                out.append(array("i", chain.from_iterable(known[w] if isinstance(w, str) else (w,) for w in words)))
+                out.append(np.frombuffer(b"".join(known[w] if isinstance(w, str) else array("i", (w,)).tobytes() for w in words), np.int32))
         if any(len(w) > REMEMBERED_BYTES for w in new):
             for w in [w for w in new if len(w) > REMEMBERED_BYTES]:
                 del known[w]
         return out
 
-    def _encode_long(self, text: str) -> array:
-        ids = array("i")
+    def _encode_long(self, text: str) -> np.ndarray:
+        ids: list[np.ndarray] = [np.empty(0, np.int32)]
         for piece in self.added.split(text) if self.added is not None else [text]:
             token = self.vocabulary.added.get(piece)
             if token is not None:
-                ids.append(token)
+                ids.append(np.array([token], np.int32))
                 continue
             block: list[str] = []
             for m in self.words.finditer(piece):
                 block.append(m[0])
                 if len(block) == 100_000:
-                    ids += self._encode_held([block])[0]
+                    ids += self._encode_held([block])
                     block = []
-            ids += self._encode_held([block])[0]
-        return ids
+            ids += self._encode_held([block])
+        return np.concatenate(ids)
 
 
 _encoders: dict[tuple[str, int], TrieEncoder] = {}
@@ -233,7 +271,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remem
             for part in small(batch, text):
                 found = own.encode_batch(part.column(text).to_pylist())
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-                flat = np.concatenate([np.frombuffer(a, np.int32) for a in found]) if ends[-1] else np.empty(0, np.int32)
+                flat = np.concatenate([np.empty(0, np.int32), *found])
                 yield put(part, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
     return df.mapInArrow(run, schema)
@@ -244,7 +282,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     schema = with_field(df.schema, text, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = encoder(path).vocabulary.bytes_of
+        bytes_of = token_bytes(path)
         table = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)]
         for batch in batches:
             column = batch.column(ids)
@@ -285,7 +323,7 @@ def put(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
 
 def digests(df: DataFrame, path: str) -> DataFrame:
     """Per document: number of ids, and SHA-256 of the ids and of the decoded text."""
-    back = decode(encode(df, path), path)
+    back = decode(encode(df, path).select("doc_id", "ids"), path)
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
