@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe
-from millrace.llm.common import only
+from millrace.llm import bpe, fingerprint, warc
+from millrace.llm.common import only, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,15 @@ def tokenizer_path() -> str:
 @register
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+
+
+@register
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compared(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = scratch(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages", "page_id", "url", "html"), archives)
+    return warc.read(spark, archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
