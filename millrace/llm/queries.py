@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, fingerprint, warc
+from millrace.llm import bpe, fingerprint, langid, mixing, toxicity, warc
 from millrace.llm.common import only, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = scratch(spark, "warc")
     warc.write(read(spark, sf_dir, "pages", "page_id", "url", "html"), archives)
     return warc.read(spark, archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
+@register
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@register
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(read(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+@register
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic"))
