@@ -117,6 +117,25 @@ def landed(units: list[list[float]]) -> None:
         u[0] = float(e)
 
 
+def flight(seed: int, level: int):
+    """The flight of one group, as a table function."""
+
+    def fly(table: pa.Table) -> pa.Table:
+        columns = table.to_pydict()
+        source, bucket, parts = columns["source"][0], columns["bucket"][0], columns["parts"][0]
+        units = [[f, float(s * t), float(t)] for f, s, t in zip(columns["fraction"], columns["size"], columns["times"])]
+        order = sorted(range(len(units)), key=lambda k: (-units[k][1], columns["doc_id"][k] is None, columns["doc_id"][k] or 0, columns["size"][k]))
+        ordered = [units[k] for k in order]
+        flown(ordered, random.Random(f"{seed}|{source!r}|{level}|{bucket}"))
+        if parts == 1:
+            landed(ordered)
+        table = table.set_column(table.schema.get_field_index("fraction"), "fraction", pa.array([u[0] for u in units], pa.float64()))
+        table = table.set_column(table.schema.get_field_index("done"), "done", pa.array([not 0 < u[0] < 1 for u in units], pa.bool_()))
+        return table
+
+    return fly
+
+
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = GROUP, seed: int = 0) -> DataFrame:
     """A row for each unit of documents (doc_id, source, text): how many times it is taken (copies), and its source's numbers."""
     units = written(sized(only(documents, "doc_id", "source", "text")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("times")), "mix-units")
@@ -139,21 +158,7 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     finished = []
     for level in range(64):
         last = most_parts <= 1
-
-        def fly(table: pa.Table, level: int = level) -> pa.Table:
-            columns = table.to_pydict()
-            source, bucket, parts = columns["source"][0], columns["bucket"][0], columns["parts"][0]
-            units = [[f, float(s * t), float(t)] for f, s, t in zip(columns["fraction"], columns["size"], columns["times"])]
-            order = sorted(range(len(units)), key=lambda k: (-units[k][1], columns["doc_id"][k] is None, columns["doc_id"][k] or 0, columns["size"][k]))
-            ordered = [units[k] for k in order]
-            flown(ordered, random.Random(f"{seed}|{source!r}|{level}|{bucket}"))
-            if parts == 1:
-                landed(ordered)
-            table = table.set_column(table.schema.get_field_index("fraction"), "fraction", pa.array([u[0] for u in units], pa.float64()))
-            table = table.set_column(table.schema.get_field_index("done"), "done", pa.array([not 0 < u[0] < 1 for u in units], pa.bool_()))
-            return table
-
-        rows = written(rows.groupBy("source", "bucket").applyInArrow(fly, UNIT), f"mix-level{level}")
+        rows = written(rows.groupBy("source", "bucket").applyInArrow(flight(seed, level), UNIT), f"mix-level{level}")
         finished.append(rows.filter("done"))
         if last:
             break
