@@ -5,8 +5,8 @@ together they get ``share`` of all sizes by weight, none more than ``most`` time
 shared again by weight among the others. A document of a source with target t and size s is expected t / s times: its
 whole part is certain, its fraction an inclusion probability. The flight phase of the cube method moves the fractions
 of three documents at a time along the null vector of their tokens and documents, so a source's totals of both stay
-exactly as expected, until each has come to 0 or 1 except for two at most; those land on the combination that comes
-nearest to the target.
+exactly as expected, until each has come to 0 or 1 except for two at most; those land, and a few
+documents of the last group change over to bring the tokens back to what was expected.
 
 Flights take place in groups of bounded size (a source's documents dealt by the hash of doc_id, large ones first, so
 that what is left is small). The two open documents of each group fly again in the next level, a thousandth as many,
@@ -68,10 +68,10 @@ def moved(units: list[list[float]], rng: random.Random) -> None:
     if len(units) == 3:
         (_, a, d), (_, b, e), (_, c, f) = units
         vector = [b * f - c * e, c * d - a * f, a * e - b * d]
+        if not any(vector):  # their ratios are equal: two of them balance each other
+            vector = [b + e, -(a + d), 0.0]
     else:
-        vector = [0.0] * len(units)
-    if not any(vector):  # their ratios are equal: two of them balance each other
-        vector = [units[1][1] + units[1][2], -(units[0][1] + units[0][2]), 0.0][: len(units)]
+        vector = [units[1][1], -units[0][1]] if units[0][1] or units[1][1] else [1.0, -1.0]
     up = min((1 - u[0]) / v if v > 0 else -u[0] / v for u, v in zip(units, vector) if v)
     down = min(u[0] / v if v > 0 else (u[0] - 1) / v for u, v in zip(units, vector) if v)
     step = up if rng.random() * (up + down) < down else -down
@@ -101,20 +101,21 @@ def flown(units: list[list[float]], rng: random.Random) -> None:
         moved(flying, rng)
 
 
-def landed(units: list[list[float]]) -> None:
-    """The landing: the open units (two at most) become whole in the way that changes the tokens least, then the documents."""
-    still = [u for u in units if 0 < u[0] < 1]
-    if not still:
-        return
-
-    def off(ends: tuple[int, ...]) -> tuple[float, float, tuple[int, ...]]:
-        return abs(sum((e - u[0]) * u[1] for e, u in zip(ends, still))), abs(sum((e - u[0]) * u[2] for e, u in zip(ends, still))), ends
-
-    choices = [()]
-    for _ in still:
-        choices = [(*c, e) for c in choices for e in (0, 1)]
-    for u, e in zip(still, min(map(off, choices))[2]):
-        u[0] = float(e)
+def landed(units: list[list[float]], flips: int = 16) -> None:
+    """The landing: the open units (two at most) take the nearer ends, then single units of the group change over as long as that brings the tokens nearer to what was expected."""
+    off = 0.0
+    for u in units:
+        if 0 < u[0] < 1:
+            end = float(u[0] >= 0.5)
+            off += (end - u[0]) * u[1]
+            u[0] = end
+    free = sorted((u for u in units if u[1]), key=lambda u: u[1])
+    for _ in range(flips):
+        best = min(free, key=lambda u: abs(off + (1 - 2 * u[0]) * u[1]), default=None)
+        if best is None or abs(off + (1 - 2 * best[0]) * best[1]) >= abs(off):
+            return
+        off += (1 - 2 * best[0]) * best[1]
+        best[0] = 1 - best[0]
 
 
 def flight(seed: int, level: int):
@@ -126,9 +127,11 @@ def flight(seed: int, level: int):
         units = [[f, float(s * t), float(t)] for f, s, t in zip(columns["fraction"], columns["size"], columns["times"])]
         order = sorted(range(len(units)), key=lambda k: (-units[k][1], columns["doc_id"][k] is None, columns["doc_id"][k] or 0, columns["size"][k]))
         ordered = [units[k] for k in order]
-        flown(ordered, random.Random(f"{seed}|{source!r}|{level}|{bucket}"))
+        rng = random.Random(f"{seed}|{source!r}|{level}|{bucket}")
+        open_before = [u for u in ordered if 0 < u[0] < 1]
+        flown(ordered, rng)
         if parts == 1:
-            landed(ordered)
+            landed(open_before)
         table = table.set_column(table.schema.get_field_index("fraction"), "fraction", pa.array([u[0] for u in units], pa.float64()))
         table = table.set_column(table.schema.get_field_index("done"), "done", pa.array([not 0 < u[0] < 1 for u in units], pa.bool_()))
         return table
