@@ -49,3 +49,24 @@ def dropped(df: DataFrame, *paths_of: DataFrame) -> None:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The columns an operator reads, whatever else df has."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Rows (node, root) for every end of the links (u, v): root is the smallest end reachable.
+
+    Each round every end takes its smallest neighbour, if smaller, as parent, parents are followed twice, and links are
+    contracted to them; links within a part vanish. What is left is written to the shared folder after each round, and
+    shrinks at least by half, so there are few rounds; nothing is gathered in one place.
+    """
+    edges = written(links.select("u", "v").filter("u <> v").distinct(), "links")
+    ends = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
+    found = written(ends.withColumn("root", F.col("node")), "roots")
+    while not edges.isEmpty():
+        both = edges.union(edges.select("v", "u"))
+        parent = written(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")), "parents")
+        up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+        parent = written(parent.join(up, "p").select("u", F.col("pp").alias("p")), "parents")
+        left, right = parent.select("u", F.col("p").alias("pu")), parent.select(F.col("u").alias("v"), F.col("p").alias("pv"))
+        edges = written(edges.join(left, "u").join(right, "v").filter("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "links")
+        found = written(found.join(parent.withColumnRenamed("u", "root"), "root", "left").select("node", F.coalesce("p", "root").alias("root")), "roots")
+    return found

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, fingerprint, langid, mixing, toxicity, warc
+from millrace.llm import bpe, fingerprint, langid, mixing, parity_join, toxicity, warc
 from millrace.llm.common import only, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@register
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.joined(read(spark, sf_dir, "documents", "doc_id", "text"), width=3, percent=90)
