@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, fingerprint, langid, mixing, parity_join, toxicity, warc
+from millrace.llm import bpe, fingerprint, langid, mixing, parity_join, suffix_dedup, toxicity, warc
 from millrace.llm.common import only, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.joined(read(spark, sf_dir, "documents", "doc_id", "text"), width=3, percent=90)
+
+
+@register
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.summary(read(spark, sf_dir, "documents", "doc_id", "text"))
