@@ -38,7 +38,7 @@ from millrace.llm.shingles import buffer_of, mix, powers
 
 LENGTH = 50
 GRAM = 24
-PIECE = 2 << 20
+PIECE = 512 << 10
 LAST = np.iinfo(np.int64).max
 
 
@@ -351,13 +351,13 @@ def laid_down(df: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
 
     spark = df.sparkSession
     total = only(df, "text").agg(F.sum(F.octet_length("text")).alias("x")).first()["x"] or 0
-    parts = max(12, -(-total // (24 << 20)))
+    parts = max(12, -(-total // (8 << 20)))
     name = f"millrace_{uuid.uuid4().hex}"
     df.mapInArrow(number, schema).write.option("path", scratch(spark, "chunks")).bucketBy(min(parts, 100_000), "chunk").saveAsTable(name)
     return spark.table(name), int(parts)
 
 
-def deduplicated(df: DataFrame, chunk_bytes: int = 4 << 20) -> DataFrame:
+def deduplicated(df: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
     """df (with doc_id and text) with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
     names = df.columns
     inner = df.toDF(*[n if n in ("doc_id", "text") else f"_{k}" for k, n in enumerate(names)])
