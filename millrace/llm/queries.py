@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, fingerprint, langid, mixing, parity_join, suffix_dedup, toxicity, warc
+from millrace.llm import ann, bpe, fingerprint, langid, license_scan, mixing, parity_join, suffix_dedup, toxicity, warc
 from millrace.llm.common import only, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.summary(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@register
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(read(spark, sf_dir, "documents", "doc_id", "text"))
