@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +72,31 @@ def components(links: DataFrame) -> DataFrame:
         edges = written(edges.join(left, "u").join(right, "v").filter("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "links")
         found = written(found.join(parent.withColumnRenamed("u", "root"), "root", "left").select("node", F.coalesce("p", "root").alias("root")), "roots")
     return found
+
+
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays as byte planes, compressed; sorted numbers take little room so."""
+    return pa.compress(b"".join(a.view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays), codec="zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes, n: int, *kinds: str) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    flat = np.frombuffer(pa.decompress(raw, n * sum(sizes), codec="zstd", asbytes=True), np.uint8)
+    out, at = [], 0
+    for kind, size in zip(kinds, sizes):
+        out.append(np.ascontiguousarray(flat[at : at + n * size].reshape(size, n).T).view(kind).reshape(-1))
+        at += n * size
+    return out
+
+
+def dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each hash; rises with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def as_table(rows: list[tuple], schema: str) -> pa.Table:
+    """Rows as an Arrow table of a schema in Spark's notation."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [x.split(" ") for x in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(fields)
+    return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, columns)})

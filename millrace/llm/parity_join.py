@@ -9,12 +9,12 @@ symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)
    shingles are dealt by hash into D + 1 + e parts for the band's largest D; parts are XORed to 64-bit words. A pair
    that links has at least e + 1 equal parts. So parts of one shingle or none, which say little, are left out unless a
    node has more than e of them: some equal part of more is always kept by both.
-3. Nodes that share a word meet. Groups beyond ``block`` are cut into blocks, each pair of blocks being a cell, so no
-   task holds more than two blocks. Sketches and sizes discard pairs that can't link. A cell of a few nodes gives all
-   remaining pairs, a larger one a spanning forest of them, nearest first.
-4. Pairs are verified on the sets themselves, and links joined to components. Then the larger cells give every remaining
-   pair across two components, which are verified as well: no link between components can be missed, and no pair inside
-   a component needs to be looked at.
+3. Keys are dealt by hash, packed, and nodes that share one meet. Groups beyond ``block`` are cut into blocks, each pair
+   of blocks being a cell, so no task holds more than two blocks. Sketches and sizes discard pairs that can't link. A
+   cell of a few nodes gives the pairs of neighbours, a larger one a spanning forest of its pairs, nearest first.
+4. Wider sketches, of three bits for each possible difference, discard most false pairs; the others are verified on the
+   sets themselves, and links joined to components. Then the cells give every pair across two components, which are
+   verified as well: no link between components can be missed, and no pair inside a component needs to be looked at.
 
 Null and empty texts and those without words have no shingles and link with nothing. Fewer words than the width are one
 shingle. Rows with a null doc_id keep a null component and link nothing else. Rows that repeat a doc_id are documents of
@@ -29,9 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
-from millrace.llm.common import components, only, written
+from millrace.llm.common import as_table, components, dealt, only, squeezed, unsqueezed, written
 from millrace.llm.shingles import mix, shingle_sets, slices
 
 WIDTH, PERCENT = 5, 80
@@ -74,6 +73,23 @@ def sketch_of(shingles: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def wide_of(shingles: np.ndarray, percent: int) -> bytes:
+    """A parity sketch with about three bits for each difference that linked sets of this size can have."""
+    bits = 1 << max(8, int(3 * most_apart(2 * len(shingles), percent)).bit_length())
+    flips = np.bincount((mix(shingles + np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_apart(a: bytes, b: bytes) -> int:
+    """Hamming distance; the longer sketch is folded to the length of the other."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def words_of(shingles: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the parts that a node joins on."""
     n = len(shingles)
@@ -95,20 +111,25 @@ def words_of(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def described(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node (null without shingles), n and sketch of each text."""
+def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, node (null without shingles), n and sketches of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), width)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "node", "n", "sketch"])
+                columns = [pa.array([f(s) if len(s) else None for s in sets], pa.binary()) for f in (node_of, sketch_of, lambda s: wide_of(s, percent))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), *columns], ["doc_id", "n", "node", "sketch", "wide"])
 
-    return docs.mapInArrow(run, "doc_id long, node binary, n long, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, n long, node binary, sketch binary, wide binary")
 
 
-def keyed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """key and node for each part that a text joins on."""
+KEYED = "part int, n int, nodes binary, keys binary"
+MET = "key long, size long, node binary"
+
+
+def keyed(docs: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
+    """The keys that texts join on, dealt by key: rows of many keys, each with the number of its node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # copies met by the same task add nothing
@@ -121,14 +142,41 @@ def keyed(docs: DataFrame, width: int, percent: int) -> DataFrame:
                             seen.clear()
                         seen.add(node)
                         keys.append(words_of(s, percent))
-                        nodes.append(np.frombuffer(node, "S16").repeat(len(keys[-1])) if len(keys[-1]) else np.empty(0, "S16"))
-                if keys:
-                    flat = np.concatenate(keys)
-                    raw = np.concatenate([np.frombuffer(x.tobytes(), np.uint8) for x in nodes])
-                    column = pa.Array.from_buffers(pa.binary(16), len(flat), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), column], ["key", "node"])
-
-    return docs.mapInArrow(run, "key long, node binary")
+                        nodes.append(node)
+                if nodes:
+                    flat, number = np.concatenate(keys), np.repeat(np.arange(len(nodes), dtype="<u4"), list(map(len, keys)))
+                    order = np.argsort(flat)
+                    flat, number = flat[order], number[order]
+                    place = dealt(flat, parts)
+                    starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else []
+                    rows = []
+                    for start, end in zip(starts, np.append(starts[1:], len(place)) if len(place) else []):
+                        used, index = np.unique(number[start:end], return_inverse=True)
+                        rows.append((int(place[start]), int(end - start), b"".join(nodes[k] for k in used.tolist()), squeezed(flat[start:end], index.astype("<u4"))))
+                    yield from as_table(rows, KEYED).to_batches()
+
+    return docs.mapInArrow(run, KEYED)
+
+
+def met(table: pa.Table) -> pa.Table:
+    """Of one part, the keys that several nodes have: each with every node and the number of nodes."""
+    keys, nodes = [], []
+    for row in table.to_pylist():
+        key, index = unsqueezed(row["keys"], row["n"], "<u8", "<u4")
+        keys.append(key)
+        nodes.append(np.frombuffer(row["nodes"], "<u8").reshape(-1, 2)[index])
+    key, node = np.concatenate(keys), np.concatenate(nodes)
+    order = np.lexsort((node[:, 1], node[:, 0], key))
+    key, node = key[order], node[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    fresh = new | np.concatenate([[True], (node[1:] != node[:-1]).any(axis=1)])
+    key, node = key[fresh], node[fresh]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key))))
+    keep = size > 1
+    raw = np.ascontiguousarray(node[keep])
+    column = pa.Array.from_buffers(pa.binary(16), len(raw), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+    return pa.table({"key": pa.array(key[keep].view(np.int64)), "size": pa.array(size[keep]), "node": column})
 
 
 def apart(sketches: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -195,12 +243,12 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
         lengths = np.diff(np.append(starts, len(key)))
         some, other = [], []
         row = np.arange(len(key))
-        if not across:
-            limit = np.repeat(np.where(size[starts] <= FEW, starts + lengths, 0), lengths)
-            for step in range(1, FEW):
-                i = row[row + step < limit]
-                if not len(i):
-                    break
+        limit = np.repeat(np.where(size[starts] <= FEW, starts + lengths, 0), lengths)
+        for step in range(1, FEW if across else 2):
+            i = row[row + step < limit]
+            if across:
+                i = i[label[i] != label[i + step]]
+            if len(i):
                 ok, _ = may_link(n, sketches, i, i + step, percent)
                 some.append(i[ok])
                 other.append(i[ok] + step)
@@ -230,8 +278,22 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
     return ordered.mapInArrow(cells, "a binary, b binary").distinct()
 
 
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wider sketches leave."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [wide_apart(x, y) <= most_apart(m + n, percent) for x, y, m, n in zip(*(batch.column(c).to_pylist() for c in ("wa", "wb", "na", "nb")))]
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
+
+    left, right = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(near, "a binary, b binary")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link, as links (u, v)."""
+    pairs = written(plausible(pairs, nodes, percent), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = ends.join(nodes, "node").select("row", "node")
 
@@ -269,24 +331,25 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, pe
 def joined(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = 4_096) -> DataFrame:
     """doc_id, n_shingles and component_id of each document, the smallest doc_id reachable by links."""
     docs = only(documents, "doc_id", "text")
-    each = written(described(docs, width), "sketches")
-    nodes = each.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    own = W.Window.partitionBy("key")
-    rows = keyed(docs.filter("doc_id IS NOT NULL"), width, percent)
-    meet = rows.withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own)).filter("low <> high").select("key", "node").distinct()
-    meet = meet.withColumn("size", F.count("*").over(own)).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    each = written(described(docs, width, percent), "sketches")
+    nodes = each.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
+    nodes = written(nodes, "nodes")
+    total = each.agg(F.sum("n").alias("x")).first()["x"] or 0
+    parts = max(12, -(-total * (100 - percent) // (50 * 1_000_000)))  # about a million keys each
+    meet = keyed(docs.filter("doc_id IS NOT NULL"), width, percent, parts).groupBy("part").applyInArrow(met, MET)
+    meet = meet.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     # a row is in the cells of its block with every block
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     meet = meet.withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("cell", F.least("mine", "with") * F.lit(1 << 20).cast("long") + F.greatest("mine", "with"))
-    cells = written(meet.join(nodes.drop("row"), "node").select("key", "cell", F.col("size").cast("long").alias("size"), "node", "n", "sketch"), "cells")
-    links = written(verified(written(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), "pairs"), docs, nodes, width, percent), "verified")
-    large = cells.filter(F.col("size") > FEW)
-    if not large.isEmpty():
-        roots = components(links)
-        labelled = large.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
-        more = written(pairs_of(labelled, percent, True), "pairs")
-        if not more.isEmpty():
-            links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
+    cells = written(meet.join(nodes.drop("row", "wide"), "node").select("key", "cell", "size", "node", "n", "sketch"), "cells")
+    links = verified(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), docs, nodes, width, percent)
+    links = written(links, "verified")
+    labelled = cells.join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node"))
+    # only keys whose nodes are in several components can add a link
+    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
+    more = written(pairs_of(labelled.join(open_keys, "key", "left_semi"), percent, True), "pairs")
+    if not more.isEmpty():
+        links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
     roots = components(links)
     placed = nodes.select("node", "row").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("row").alias("component_id"))

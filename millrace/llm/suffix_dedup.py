@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import only, scratch, written
+from millrace.llm.common import as_table, dealt, only, scratch, squeezed, unsqueezed, written
 from millrace.llm.shingles import buffer_of, mix, powers
 
 LENGTH = 50
@@ -125,26 +125,6 @@ def refined(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> np.nd
     return pointer[starts]
 
 
-def squeezed(*arrays: np.ndarray) -> bytes:
-    """Arrays as byte planes, compressed; sorted numbers take little room so."""
-    return pa.compress(b"".join(a.view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays), codec="zstd", asbytes=True)
-
-
-def unsqueezed(raw: bytes, n: int, *kinds: str) -> list[np.ndarray]:
-    sizes = [np.dtype(k).itemsize for k in kinds]
-    flat = np.frombuffer(pa.decompress(raw, n * sum(sizes), codec="zstd", asbytes=True), np.uint8)
-    out, at = [], 0
-    for kind, size in zip(kinds, sizes):
-        out.append(np.ascontiguousarray(flat[at : at + n * size].reshape(size, n).T).view(kind).reshape(-1))
-        at += n * size
-    return out
-
-
-def dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """The part of each hash; rises with the hash."""
-    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
 class Chunk:
     """The distinct runs of a chunk, in order of anchor and content."""
 
@@ -196,13 +176,6 @@ def listed(parts: int):
     return run
 
 
-def as_table(rows: list[tuple], schema: str) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    fields = [x.split(" ") for x in schema.split(", ")]
-    columns = list(zip(*rows)) if rows else [[]] * len(fields)
-    return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, columns)})
-
-
 def judged(table: pa.Table) -> pa.Table:
     """Verdicts on the listed runs of one part."""
     rows = table.sort_by("chunk").to_pylist()
