@@ -23,7 +23,7 @@ from pyspark.sql import window as W
 
 from millrace.llm.common import only, written
 
-PROJECTIONS, THRESHOLD, SHARE = 128, 0.6, 0.25
+PROJECTIONS, THRESHOLD, SHARE, WIDTH = 96, 0.6, 0.25, 1.0
 NEAREST = "query_id long, digest long, vec_id long, score double, own boolean"
 
 
@@ -47,38 +47,45 @@ class Block:
         self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
         self.bases = directions(vectors.shape[1], projections)
         places = (self.vectors / self.norms[:, None]) @ self.bases
-        self.order = np.argsort(places, axis=0).T.astype(np.int32).copy()
+        self.order = np.argsort(places, axis=0).T.copy()
         self.sorted = np.take_along_axis(places.T, self.order, axis=1).copy()
 
-    def candidates(self, query: np.ndarray, threshold: float = THRESHOLD, share: float = SHARE, least: int = 64) -> np.ndarray:
-        """Rows that collide with the query often enough."""
+    def candidates(self, queries: np.ndarray, threshold: float = THRESHOLD, share: float = SHARE, least: int = 64) -> list[np.ndarray]:
+        """For each query, the rows that collide with it often enough."""
         n = len(self.norms)
         enough = min(n, max(least, int(np.ceil(share * n))))
-        place = (query / np.sqrt((query * query).sum())) @ self.bases
-        count = np.zeros(n, np.int64)
+        places = ((queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))) @ self.bases).T
+        found: list[np.ndarray | None] = [None] * len(queries)
+        counts = np.zeros((len(queries), n), np.int64)
         low = high = None
-        width = 0.5
-        while True:
-            a = np.array([np.searchsorted(s, p - width, "left") for s, p in zip(self.sorted, place)])
-            b = np.array([np.searchsorted(s, p + width, "right") for s, p in zip(self.sorted, place)])
-            if low is None:
-                new = [o[x:y] for o, x, y in zip(self.order, a, b)]
-            else:  # only what the wider windows add
-                new = [part for o, x, y, c, d in zip(self.order, a, b, low, high) for part in (o[x:c], o[d:y])]
-            count += np.bincount(np.concatenate(new), minlength=n)
-            low, high = a, b
-            found = np.flatnonzero(count >= threshold * len(place))
-            if len(found) >= enough:
-                return found
-            width *= 1.25
-
-    def nearest(self, query: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        query = scaled(query[None])[0]
-        rows = self.candidates(query)
-        own = self.vectors[rows]
-        score = (own * query).sum(axis=1) / (self.norms[rows] * np.sqrt((query * query).sum()))
-        first = np.lexsort((ids[rows], -score))[:k]
-        return rows[first], score[first]
+        width, open_ = WIDTH, np.arange(len(queries))
+        while len(open_):
+            a = np.stack([np.searchsorted(s, p[open_] - width, "left") for s, p in zip(self.sorted, places)])
+            b = np.stack([np.searchsorted(s, p[open_] + width, "right") for s, p in zip(self.sorted, places)])
+            for column, q in enumerate(open_.tolist()):
+                if low is None:
+                    new = [o[x:y] for o, x, y in zip(self.order, a[:, column].tolist(), b[:, column].tolist())]
+                else:  # only what the wider windows add
+                    new = [part for o, x, y, c, d in zip(self.order, a[:, column].tolist(), b[:, column].tolist(), low[:, column].tolist(), high[:, column].tolist()) for part in (o[x:c], o[d:y])]
+                counts[q] += np.bincount(np.concatenate(new), minlength=n)
+                rows = np.flatnonzero(counts[q] >= threshold * len(places))
+                if len(rows) >= enough:
+                    found[q] = rows
+            still = np.array([found[q] is None for q in open_.tolist()], bool)
+            open_, low, high = open_[still], a[:, still], b[:, still]
+            width *= 1.06
+        return found
+
+    def nearest(self, queries: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, its nearest rows and their cosines."""
+        out = []
+        for at in range(0, len(queries), 128):
+            some = scaled(queries[at : at + 128])
+            for query, rows in zip(some, self.candidates(some)):
+                score = (self.vectors[rows] * query).sum(axis=1) / (self.norms[rows] * np.sqrt((query * query).sum()))
+                first = np.lexsort((ids[rows], -score))[:k]
+                out.append((rows[first], score[first]))
+        return out
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -97,8 +104,8 @@ def searched(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 32
     """The k nearest vectors of each query row: query_id, rank, vec_id, score."""
     rows, asked = usable(vectors), usable(queries)
     n, m = rows.count(), asked.count()
-    # blocks of bounded size, and some tens of them for a small table
-    blocks, sets = max(1, -(-n // block), min(24, n // 2_048)), max(1, -(-m // block))
+    # blocks of bounded size, and some more of them for a small table
+    blocks, sets = max(1, -(-n // block), min(24, n // 8_192)), max(1, -(-m // block))
     # the same query twice is searched once
     asked = asked.groupBy("vec_id", "digest", "embedding", "dimension").agg(F.count("*").alias("times"))
     left = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "digest"), F.lit(blocks))).withColumn("set", F.explode(F.expr(f"sequence(0L, {sets - 1}L)")))
@@ -109,8 +116,8 @@ def searched(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 32
         if data.num_rows and ask.num_rows:
             ids, digests = data.column("vec_id").to_numpy(), data.column("digest").to_numpy()
             own = Block(matrix(data.column("embedding")))
-            for query_id, digest, query in zip(ask.column("vec_id").to_pylist(), ask.column("digest").to_pylist(), matrix(ask.column("embedding"))):
-                found, score = own.nearest(query, ids, k + 1)
+            nearest = own.nearest(matrix(ask.column("embedding")), ids, k + 1)
+            for query_id, digest, (found, score) in zip(ask.column("vec_id").to_pylist(), ask.column("digest").to_pylist(), nearest):
                 out += [(query_id, digest, int(ids[r]), float(s), bool(ids[r] == query_id and digests[r] == digest)) for r, s in zip(found, score)]
         columns = list(zip(*out)) if out else [[]] * 5
         return pa.table({name: pa.array(c, t) for name, c, t in zip(("query_id", "digest", "vec_id", "score", "own"), columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()))})
