@@ -71,7 +71,7 @@ def approx_percentile(df: DataFrame, keys: list[str], value: str, quantile: floa
         raise ValueError("the relative error lies between 0 and 1")
     base = (1 + relative_error) / (1 - relative_error)
     x = F.col(value).cast("double")
-    bucket = F.when(x == 0, F.lit(0)).otherwise(F.ceil(F.log(F.lit(base), F.abs(x))))
+    bucket = F.when(x == 0, F.lit(0)).otherwise(F.ceil(F.log(base, F.abs(x))))
     counted = df.filter(x.isNotNull()).groupBy(*keys, F.signum(x).cast("int").alias("__s"), bucket.alias("__b")).agg(F.count("*").alias("__n"))
     middle = F.col("__s") * 2 * F.pow(F.lit(base), F.col("__b")) / F.lit(base + 1)
     from pyspark.sql import window as W

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import TABLES, register_tables
+from millrace.sql.engine import Engine
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,3 +26,13 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
         return f
 
     return add
+
+
+def register_sql(name: str, text: str, oracle: str | None = None, checked: bool = True) -> None:
+    """A query in the engine's own SQL; the oracle reads the same text unless another is given."""
+    used = tuple(t for t in TABLES if re.search(rf"\b{t}\b", text))
+
+    @register(name, (oracle or text) if checked else None)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_tables(spark, sf_dir, used)
+        return Engine(spark).sql(text)
