@@ -3,7 +3,7 @@
 Two texts link when 100 * |A & B| >= percent * |A | B| for their sets of shingles. With sizes a and b that bounds the
 symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)).
 
-1. Each text becomes a node, the 128-bit digest of its set; equal sets are one node. A node has a parity sketch of 256
+1. Each text becomes a node, the 128-bit digest of its set; equal sets are one node. A node has a parity sketch of 512
    bits, each shingle flipping one, so the Hamming distance of two sketches is at most their symmetric difference.
 2. Sizes fall into bands by a factor of 1.4, and a size that can link into the next band joins there too. In a band the
    shingles are dealt by hash into D + 1 + e parts for the band's largest D; parts are XORed to 64-bit words. A pair
@@ -11,7 +11,7 @@ symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)
    node has more than e of them: some equal part of more is always kept by both.
 3. Keys are dealt by hash, packed, and nodes that share one meet. Groups beyond ``block`` are cut into blocks, each pair
    of blocks being a cell, so no task holds more than two blocks. Sketches and sizes discard pairs that can't link. A
-   cell of a few nodes gives the pairs of neighbours, a larger one a spanning forest of its pairs, nearest first.
+   cell of a few nodes gives the pairs of neighbours, a larger one for each node the nearest before it.
 4. Wider sketches, of three bits for each possible difference, discard most false pairs; the others are verified on the
    sets themselves, and links joined to components. Then the cells give every pair across two components, which are
    verified as well: no link between components can be missed, and no pair inside a component needs to be looked at.
@@ -36,7 +36,7 @@ from millrace.llm.shingles import mix, shingle_sets, slices
 WIDTH, PERCENT = 5, 80
 FACTOR = 1.4
 FEW = 8
-SKETCH = 256
+SKETCH = 512
 
 
 def most_apart(total, percent: int):
@@ -69,7 +69,7 @@ def node_of(shingles: np.ndarray) -> bytes:
 
 
 def sketch_of(shingles: np.ndarray) -> bytes:
-    bits = np.bincount((mix(shingles + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(56)).astype(np.int64), minlength=SKETCH) & 1
+    bits = np.bincount((mix(shingles + np.uint64(0x632BE59BD9B4E019)) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
@@ -193,23 +193,28 @@ def may_link(n: np.ndarray, sketches: np.ndarray, i: np.ndarray, j: np.ndarray,
     return distance <= most_apart(total, percent), distance
 
 
-def forest(size: int, i: np.ndarray, j: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the pairs, nearest first."""
-    up = list(range(size))
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    keep = []
-    for k in np.argsort(distance, kind="stable").tolist():
-        a, b = root(int(i[k])), root(int(j[k]))
-        if a != b:
-            up[a] = b
-            keep.append(k)
-    return i[keep], j[keep]
+def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarray | None, rows: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a cell that may link: all with different labels, or without labels for each row the nearest before it. Rows are taken in strips, so memory is bounded by a strip."""
+    some, other = [], []
+    for at in range(1, len(n), rows):
+        j = np.arange(at, min(len(n), at + rows))
+        distance = np.zeros((len(j), j[-1]), np.int16)
+        for w in range(sketches.shape[1]):
+            distance += np.bitwise_count(sketches[j, w][:, None] ^ sketches[None, : j[-1], w])
+        total = n[j][:, None] + n[None, : j[-1]]
+        ok = (distance <= most_apart(total, percent)) & (np.arange(j[-1])[None, :] < j[:, None])
+        ok &= 100 * np.minimum(n[j][:, None], n[None, : j[-1]]) >= percent * np.maximum(n[j][:, None], n[None, : j[-1]])
+        if label is None:
+            nearest = np.where(ok, distance, np.int16(32767)).argmin(axis=1)
+            hit = ok[np.arange(len(j)), nearest]
+            some.append(nearest[hit])
+            other.append(j[hit])
+        else:
+            ok &= label[j][:, None] != label[None, : j[-1]]
+            r, i = np.nonzero(ok)
+            some.append(i)
+            other.append(j[r])
+    return np.concatenate(some), np.concatenate(other)
 
 
 def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
@@ -223,7 +228,7 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
             held.append(batch)
             key = np.stack([batch.column(c).to_numpy() for c in ("key", "cell")])
             last = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
-            if len(last) or batch.num_rows > 100_000:  # all but the last cell are complete
+            if len(last):  # all but the last cell are complete
                 table = pa.Table.from_batches(held).combine_chunks()
                 end = table.num_rows - (batch.num_rows - 1 - int(last[-1])) if len(last) else 0
                 if end:
@@ -255,18 +260,8 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
         for start, length in zip(starts.tolist(), lengths.tolist()):
             if size[start] <= FEW:
                 continue
-            first, second, far = [], [], []
-            for r in range(length - 1):  # one row against the rest of the cell
-                j = np.arange(r + 1, length) + start
-                if across:
-                    j = j[label[j] != label[r + start]]
-                ok, distance = may_link(n, sketches, np.full(len(j), r + start), j, percent)
-                first.append(np.full(int(ok.sum()), r))
-                second.append(j[ok] - start)
-                far.append(distance[ok])
-            i, j, far = (np.concatenate(x) for x in (first, second, far))
-            if not across:
-                i, j = forest(length, i, j, far)
+            cell_rows = slice(start, start + length)
+            i, j = compared(n[cell_rows], sketches[cell_rows], percent, label[cell_rows] if across else None)
             some.append(i + start)
             other.append(j + start)
         pairs = {(min(nodes[a], nodes[b]), max(nodes[a], nodes[b])) for x, y in zip(some, other) for a, b in zip(x.tolist(), y.tolist()) if nodes[a] != nodes[b]}
