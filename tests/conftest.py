@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -10,6 +11,6 @@ from millrace.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cpus=8, memory="4g")
+    session = local_session(cpus=os.environ.get("TEST_CPUS", "8"), memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     return session
