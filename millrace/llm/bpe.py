@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import tidy
+
 #: The byte-level pre-token rule of this family of vocabularies (fixed value).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Longer words are encoded but not remembered.
@@ -274,7 +276,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remem
                 flat = np.concatenate([np.empty(0, np.int32), *found])
                 yield put(part, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -297,7 +299,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             found = [b"".join(map(own.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace") if ok else None for a, b, ok in zip(ends, ends[1:], there)]
             yield put(batch, text, pa.array(found, pa.string()))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def small(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

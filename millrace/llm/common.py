@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +51,13 @@ def dropped(df: DataFrame, *paths_of: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: bytes of an Arrow batch between Spark and Python
+BATCH_BYTES = 8 << 20
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The columns an operator reads, whatever else df has."""
+    """The columns an operator reads, whatever else df has; Arrow batches are kept small, as texts may be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
@@ -100,3 +108,26 @@ def as_table(rows: list[tuple], schema: str) -> pa.Table:
     fields = [x.split(" ") for x in schema.split(", ")]
     columns = list(zip(*rows)) if rows else [[]] * len(fields)
     return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, columns)})
+
+
+def release() -> None:
+    """Gives memory that is free back to the machine: Python workers are used again by later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """f, which before its task drops what another operator has remembered in this worker, and after it gives memory back."""
+    home = f.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        other = sys.modules.get("millrace.llm.bpe")
+        if other is not None and home != other.__name__:
+            other._encoders.clear()
+        yield from f(batches)
+        release()
+
+    return run

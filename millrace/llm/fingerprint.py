@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import only
+from millrace.llm.common import only, tidy
 from millrace.llm.shingles import shingle_sets, slices
 
 WIDTH = 5
@@ -81,7 +81,7 @@ def fingerprints(df: DataFrame, text: str = "text", name: str = "fingerprint", k
 
     from pyspark.sql import types as T
 
-    return df.mapInArrow(run, with_field(df.schema, name, T.StringType()))
+    return df.mapInArrow(tidy(run), with_field(df.schema, name, T.StringType()))
 
 
 def merged_by(df: DataFrame, key: str, name: str = "fingerprint", k: int = K) -> DataFrame:
@@ -170,4 +170,4 @@ def compared(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.types, strict=True)], names)
 
     ordered, _ = with_next(df)
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(tidy(run), schema)

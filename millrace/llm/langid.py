@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import only
+from millrace.llm.common import only, tidy
 from millrace.llm.shingles import mix, slices
 
 BITS = 16
@@ -120,7 +120,7 @@ def train(labelled: DataFrame, sample: int = 1_000, smoothing: float = 0.5) -> M
             numbers = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(numbers), pa.string()), "number": pa.array(numbers, pa.int32()), "n": pa.array(counts[numbers], pa.int64())})
 
-    counted = chosen.mapInArrow(count, "lang string, number int, n long").groupBy("lang", "number").agg(F.sum("n").alias("n")).toArrow()
+    counted = chosen.mapInArrow(tidy(count), "lang string, number int, n long").groupBy("lang", "number").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(sizes)
     where = {lang: k for k, lang in enumerate(languages)}
     counts = np.zeros((len(languages), 1 << BITS))
@@ -144,7 +144,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_
                 found = [own.predict(t) for t in part.column(text).to_pylist()]
                 yield put(put(part, pred, pa.array([x for x, _ in found], pa.string())), score, pa.array([y for _, y in found], pa.float64()))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import only
+from millrace.llm.common import only, tidy
 from millrace.llm.shingles import slices
 
 THRESHOLD = 0.85
@@ -107,4 +107,4 @@ def scanned(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 name, score, scope, lines = zip(*rows)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(scope, pa.string()), pa.array(lines, pa.int64())], ["doc_id", "license", "score", "scope", "n_lines"])
 
-    return only(documents, "doc_id", "text").mapInArrow(run, "doc_id long, license string, score double, scope string, n_lines long")
+    return only(documents, "doc_id", "text").mapInArrow(tidy(run), "doc_id long, license string, score double, scope string, n_lines long")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from millrace.llm.common import WORD_PATTERN, only, written
+from millrace.llm.common import WORD_PATTERN, only, tidy, written
 
 WEIGHTS = (3, 1, 2)
 GROUP = 4_000
@@ -44,7 +44,7 @@ def sized(df: DataFrame, text: str = "text", name: str = "size") -> DataFrame:
         for batch in batches:
             yield put(batch, name, pc.fill_null(pc.count_substring_regex(batch.column(text), pattern=WORD_PATTERN), 0).cast(pa.int64()))
 
-    return df.mapInArrow(run, with_field(df.schema, name, T.LongType()))
+    return df.mapInArrow(tidy(run), with_field(df.schema, name, T.LongType()))
 
 
 def targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:

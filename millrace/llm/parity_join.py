@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_table, components, dealt, only, squeezed, unsqueezed, written
+from millrace.llm.common import as_table, components, dealt, only, release, squeezed, tidy, unsqueezed, written
 from millrace.llm.shingles import mix, shingle_sets, slices
 
 WIDTH, PERCENT = 5, 80
@@ -121,7 +121,7 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 columns = [pa.array([f(s) if len(s) else None for s in sets], pa.binary()) for f in (node_of, sketch_of, lambda s: wide_of(s, percent))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), *columns], ["doc_id", "n", "node", "sketch", "wide"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node binary, sketch binary, wide binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, node binary, sketch binary, wide binary")
 
 
 KEYED = "part int, n int, nodes binary, keys binary"
@@ -138,7 +138,7 @@ def keyed(docs: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
                 keys, nodes = [], []
                 for s in shingle_sets(part.column("text"), width):
                     if len(s) and (node := node_of(s)) not in seen:
-                        if len(seen) > 500_000:
+                        if len(seen) > 100_000:
                             seen.clear()
                         seen.add(node)
                         keys.append(words_of(s, percent))
@@ -155,7 +155,7 @@ def keyed(docs: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
                         rows.append((int(place[start]), int(end - start), b"".join(nodes[k] for k in used.tolist()), squeezed(flat[start:end], index.astype("<u4"))))
                     yield from as_table(rows, KEYED).to_batches()
 
-    return docs.mapInArrow(run, KEYED)
+    return docs.mapInArrow(tidy(run), KEYED)
 
 
 def met(table: pa.Table) -> pa.Table:
@@ -176,6 +176,7 @@ def met(table: pa.Table) -> pa.Table:
     keep = size > 1
     raw = np.ascontiguousarray(node[keep])
     column = pa.Array.from_buffers(pa.binary(16), len(raw), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+    release()
     return pa.table({"key": pa.array(key[keep].view(np.int64)), "size": pa.array(size[keep]), "node": column})
 
 
@@ -270,7 +271,7 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in ordered], pa.binary()), pa.array([p[1] for p in ordered], pa.binary())], ["a", "b"])
 
     ordered = rows.select("key", "cell", "size", "node", "n", "sketch", "label").repartition("key", "cell").sortWithinPartitions("key", "cell")
-    return ordered.mapInArrow(cells, "a binary, b binary").distinct()
+    return ordered.mapInArrow(tidy(cells), "a binary, b binary").distinct()
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -283,7 +284,7 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
     left, right = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(near, "a binary, b binary")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(tidy(near), "a binary, b binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -299,14 +300,14 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, pe
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
     # several rows may have the wanted id: the digest tells which of them has the text
-    sets = docs.join(wanted.withColumnRenamed("row", "doc_id"), "doc_id").select("node", "text").mapInArrow(shingled, "node binary, shingles binary")
+    sets = docs.join(wanted.withColumnRenamed("row", "doc_id"), "doc_id").select("node", "text").mapInArrow(tidy(shingled), "node binary, shingles binary")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [node_of(np.frombuffer(s, np.uint64)) == node for node, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield batch.filter(pa.array(keep))
 
-    sets = written(sets.mapInArrow(own, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+    sets = written(sets.mapInArrow(tidy(own), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +321,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, pe
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["u", "v"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(link, "u binary, v binary")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(tidy(link), "u binary, v binary")
 
 
 def joined(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = 4_096) -> DataFrame:

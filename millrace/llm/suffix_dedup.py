@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import as_table, dealt, only, scratch, squeezed, unsqueezed, written
+from millrace.llm.common import as_table, dealt, only, release, scratch, squeezed, tidy, unsqueezed, written
 from millrace.llm.shingles import buffer_of, mix, powers
 
 LENGTH = 50
@@ -203,6 +203,8 @@ def judged(table: pa.Table) -> pa.Table:
     verdict = np.where(o > least[run], REMOVED, np.where(new_run & several[bucket], REFINE, OPEN)).astype(np.uint8)
     # copies with the same smallest doc_id (rows that repeat it) are refined one by one
     verdict[(verdict == OPEN) & several[bucket]] = REFINE
+    del anchors, contents, owners, anchor, content, a, c
+    release()
     out = np.empty(len(order), np.uint8)
     out[order] = verdict
     return as_table([(r["chunk"], 1, r["part"], squeezed(out[s:e])) for r, s, e in zip(rows, ends, ends[1:]) if out[s:e].any()], VERDICT)
@@ -327,7 +329,7 @@ def laid_down(df: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
     total = only(df, "text").agg(F.sum(F.octet_length("text")).alias("x")).first()["x"] or 0
     parts = max(12, -(-total // (8 << 20)))
     name = f"millrace_{uuid.uuid4().hex}"
-    df.mapInArrow(number, schema).write.option("path", scratch(spark, "chunks")).bucketBy(min(parts, 100_000), "chunk").saveAsTable(name)
+    df.mapInArrow(tidy(number), schema).write.option("path", scratch(spark, "chunks")).bucketBy(min(parts, 100_000), "chunk").saveAsTable(name)
     return spark.table(name), int(parts)
 
 
@@ -361,5 +363,5 @@ def cleaned(documents: DataFrame) -> DataFrame:
             texts = [k.decode("utf-8", "ignore") if r else t for k, r, t in zip(batch.column("kept").to_pylist(), batch.column("n_removed").to_pylist(), batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field("text").type) if n == "text" else batch.column(n) for n in own], own)
 
-    text = out.mapInArrow(decoded, documents.schema)
+    text = out.mapInArrow(tidy(decoded), documents.schema)
     return text.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in own else text

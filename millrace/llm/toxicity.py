@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import ASCII_LOWER, only
+from millrace.llm.common import ASCII_LOWER, only, tidy
 from millrace.llm.shingles import mix, slices
 
 BITS = 20
@@ -169,7 +169,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 2_000, per_docu
             found = [windows(t, per_document) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], ["doc_id", "toxic", "windows"])
 
-    rows = picked.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(cut, "doc_id long, toxic int, windows array<string>").collect()
+    rows = picked.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(tidy(cut), "doc_id long, toxic int, windows array<string>").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["windows"]))
     return fit([(r["windows"], r["toxic"]) for r in rows], prior)
 
@@ -186,7 +186,7 @@ def scored(df: DataFrame, model: Model, text: str = "text", name: str = "score")
             for part in slices(batch, text):
                 yield put(part, name, pa.array([own.score(t) for t in part.column(text).to_pylist()], pa.float64()))
 
-    return df.mapInArrow(run, with_field(df.schema, name, T.DoubleType()))
+    return df.mapInArrow(tidy(run), with_field(df.schema, name, T.DoubleType()))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import only
+from millrace.llm.common import only, tidy
 
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, problem string"
 SEGMENTS = "origin string, number int, total long, page_id long, url string, digest string, block binary"
@@ -107,7 +107,7 @@ def write(pages: DataFrame, path: str, revisit_from: int = 0, segment_bytes: int
         if pack:
             yield pa.RecordBatch.from_pydict({"pack": pa.array([END.join(pack)], pa.binary())})
 
-    known.mapInArrow(packs, "pack binary").select(F.col("pack").cast("string").alias("value")).write.option("lineSep", END.decode()).option("compression", compression).option("maxRecordsPerFile", 4).text(path)
+    known.mapInArrow(tidy(packs), "pack binary").select(F.col("pack").cast("string").alias("value")).write.option("lineSep", END.decode()).option("compression", compression).option("maxRecordsPerFile", 4).text(path)
 
 
 def scanned(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -211,6 +211,6 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
         out = row(first.page_id, first.url, "response", payload, problem, first.digest, keep=payloads)
         return pd.DataFrame([out] * repeats, columns=whole_schema.names).astype({"payload_bytes": "Int64", "refers_to": "Int64", "page_id": "Int64"})
 
-    singles = files.mapInArrow(lambda b: rows(b, whole, whole_schema), RECORDS)
-    joined = files.mapInArrow(lambda b: rows(b, segment, segment_schema), SEGMENTS).groupBy("origin").applyInPandas(reassembled, RECORDS)
+    singles = files.mapInArrow(tidy(lambda b: rows(b, whole, whole_schema)), RECORDS)
+    joined = files.mapInArrow(tidy(lambda b: rows(b, segment, segment_schema)), SEGMENTS).groupBy("origin").applyInPandas(reassembled, RECORDS)
     return singles.unionByName(joined)
