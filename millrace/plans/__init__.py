@@ -1,6 +1,6 @@
 """Registered queries, by area; importing this package fills the catalogue."""
 
-from millrace.plans import relational, scalar, timeseries
+from millrace.plans import changes, relational, scalar, timeseries
 from millrace.plans.catalogue import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "relational", "scalar", "timeseries"]
+__all__ = ["ORACLES", "QUERIES", "changes", "relational", "scalar", "timeseries"]
