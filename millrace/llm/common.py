@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import sys
 import tempfile
@@ -37,15 +38,19 @@ def scratch(spark: SparkSession, what: str) -> str:
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a table in the shared folder: its lineage ends there, so lost executors cost only their own unfinished tasks."""
     spark = df.sparkSession
-    path = scratch(spark, what)
+    path, schema = scratch(spark, what), df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    # shuffle files go once no plan refers to them, which is when the driver collects its garbage
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
-def dropped(df: DataFrame, *paths_of: DataFrame) -> None:
-    """Deletes the scratch tables behind the given frames (best effort, after their last use)."""
-    spark = df.sparkSession
-    for frame in paths_of:
+def dropped(*frames: DataFrame) -> None:
+    """Deletes the scratch tables that the frames read, after their last use."""
+    for frame in frames:
+        spark = frame.sparkSession
         for name in {f.rpartition("/")[0] for f in frame.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

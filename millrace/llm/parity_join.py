@@ -12,9 +12,10 @@ symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)
 3. Keys are dealt by hash, packed, and nodes that share one meet. Groups beyond ``block`` are cut into blocks, each pair
    of blocks being a cell, so no task holds more than two blocks. Sketches and sizes discard pairs that can't link. A
    cell of a few nodes gives the pairs of neighbours, a larger one for each node the nearest before it.
-4. Wider sketches, of three bits for each possible difference, discard most false pairs; the others are verified on the
-   sets themselves, and links joined to components. Then the cells give every pair across two components, which are
-   verified as well: no link between components can be missed, and no pair inside a component needs to be looked at.
+4. Wider sketches, of twelve bits for each possible difference, discard most false pairs; the others are verified on the
+   sets themselves, and links joined to components. Then the cells with several components, now with wider sketches, give
+   every pair across two components, which are verified as well: no link between components can be missed, and no pair
+   inside a component needs to be looked at.
 
 Null and empty texts and those without words have no shingles and link with nothing. Fewer words than the width are one
 shingle. Rows with a null doc_id keep a null component and link nothing else. Rows that repeat a doc_id are documents of
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_table, components, dealt, only, release, squeezed, tidy, unsqueezed, written
+from millrace.llm.common import as_table, components, dealt, dropped, only, release, squeezed, tidy, unsqueezed, written
 from millrace.llm.shingles import mix, shingle_sets, slices
 
 WIDTH, PERCENT = 5, 80
@@ -74,19 +75,15 @@ def sketch_of(shingles: np.ndarray) -> bytes:
 
 
 def wide_of(shingles: np.ndarray, percent: int) -> bytes:
-    """A parity sketch with about three bits for each difference that linked sets of this size can have."""
-    bits = 1 << max(8, int(3 * most_apart(2 * len(shingles), percent)).bit_length())
+    """A parity sketch with at least twelve bits for each difference that linked sets of this size can have."""
+    bits = 1 << max(9, int(12 * most_apart(2 * len(shingles), percent)).bit_length())
     flips = np.bincount((mix(shingles + np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
 
 def wide_apart(a: bytes, b: bytes) -> int:
     """Hamming distance; the longer sketch is folded to the length of the other."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    x, y = folded([a, b])
     return int(np.bitwise_count(x ^ y).sum())
 
 
@@ -194,19 +191,25 @@ def may_link(n: np.ndarray, sketches: np.ndarray, i: np.ndarray, j: np.ndarray,
     return distance <= most_apart(total, percent), distance
 
 
+def folded(raw: list[bytes]) -> np.ndarray:
+    """Sketches folded to the length of the shortest: parities of parts add up."""
+    least = min(map(len, raw)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, least), axis=0) for x in raw])
+
+
 def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarray | None, rows: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a cell that may link: all with different labels, or without labels for each row the nearest before it. Rows are taken in strips, so memory is bounded by a strip."""
     some, other = [], []
     for at in range(1, len(n), rows):
         j = np.arange(at, min(len(n), at + rows))
-        distance = np.zeros((len(j), j[-1]), np.int16)
+        distance = np.zeros((len(j), j[-1]), np.int32)
         for w in range(sketches.shape[1]):
             distance += np.bitwise_count(sketches[j, w][:, None] ^ sketches[None, : j[-1], w])
         total = n[j][:, None] + n[None, : j[-1]]
         ok = (distance <= most_apart(total, percent)) & (np.arange(j[-1])[None, :] < j[:, None])
         ok &= 100 * np.minimum(n[j][:, None], n[None, : j[-1]]) >= percent * np.maximum(n[j][:, None], n[None, : j[-1]])
         if label is None:
-            nearest = np.where(ok, distance, np.int16(32767)).argmin(axis=1)
+            nearest = np.where(ok, distance, np.int32(1 << 30)).argmin(axis=1)
             hit = ok[np.arange(len(j)), nearest]
             some.append(nearest[hit])
             other.append(j[hit])
@@ -243,26 +246,24 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
         key = table.column("key").to_numpy()
         cell, size, n = (table.column(c).to_numpy() for c in ("cell", "size", "n"))
         nodes = table.column("node").to_pylist()
-        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+        raw = table.column("sketch").to_pylist()
+        sketches = None if across else np.frombuffer(b"".join(raw), np.uint64).reshape(-1, SKETCH // 64)
         label = np.unique(np.array([x or b"" for x in table.column("label").to_pylist()], object), return_inverse=True)[1] if across else None
         starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
         lengths = np.diff(np.append(starts, len(key)))
         some, other = [], []
         row = np.arange(len(key))
-        limit = np.repeat(np.where(size[starts] <= FEW, starts + lengths, 0), lengths)
-        for step in range(1, FEW if across else 2):
-            i = row[row + step < limit]
-            if across:
-                i = i[label[i] != label[i + step]]
-            if len(i):
-                ok, _ = may_link(n, sketches, i, i + step, percent)
-                some.append(i[ok])
-                other.append(i[ok] + step)
+        if not across:
+            limit = np.repeat(np.where(size[starts] <= FEW, starts + lengths, 0), lengths)
+            i = row[row + 1 < limit]
+            ok, _ = may_link(n, sketches, i, i + 1, percent)
+            some.append(i[ok])
+            other.append(i[ok] + 1)
         for start, length in zip(starts.tolist(), lengths.tolist()):
-            if size[start] <= FEW:
+            if length < 2 or size[start] <= FEW and not across:
                 continue
             cell_rows = slice(start, start + length)
-            i, j = compared(n[cell_rows], sketches[cell_rows], percent, label[cell_rows] if across else None)
+            i, j = compared(n[cell_rows], folded(raw[cell_rows]) if across else sketches[cell_rows], percent, label[cell_rows] if across else None)
             some.append(i + start)
             other.append(j + start)
         pairs = {(min(nodes[a], nodes[b]), max(nodes[a], nodes[b])) for x, y in zip(some, other) for a, b in zip(x.tolist(), y.tolist()) if nodes[a] != nodes[b]}
@@ -340,12 +341,15 @@ def joined(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, blo
     cells = written(meet.join(nodes.drop("row", "wide"), "node").select("key", "cell", "size", "node", "n", "sketch"), "cells")
     links = verified(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), docs, nodes, width, percent)
     links = written(links, "verified")
-    labelled = cells.join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node"))
+    labelled = cells.drop("sketch").join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node"))
     # only keys whose nodes are in several components can add a link
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-    more = written(pairs_of(labelled.join(open_keys, "key", "left_semi"), percent, True), "pairs")
+    again = labelled.join(open_keys, "key", "left_semi").join(nodes.select("node", F.col("wide").alias("sketch")), "node")
+    more = written(pairs_of(again, percent, True), "pairs")
+    dropped(cells)
     if not more.isEmpty():
         links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
+    dropped(more)
     roots = components(links)
     placed = nodes.select("node", "row").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("row").alias("component_id"))
