@@ -10,7 +10,20 @@ from millrace.llm import ann, bpe, fingerprint, langid, license_scan, mixing, pa
 from millrace.llm.common import only, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+#: models, sampling, merges and files have no SQL form; those queries are tested against brute force
+ORACLES: dict[str, str] = {
+    "op10_parity_join": r"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] END) AS s FROM words),
+    sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+    shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b WHERE 100 * c >= 90 * (m.n + n.n - c)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT doc_id, doc_id AS c FROM sizes UNION SELECT b, c FROM reached JOIN edges ON doc_id = a)
+    SELECT s.doc_id, s.n::bigint AS n_shingles, min(r.c) AS component_id FROM sizes s JOIN reached r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s.n
+    """,
+}
 
 
 def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

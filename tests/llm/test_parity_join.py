@@ -112,3 +112,17 @@ def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert got(op10_parity_join(spark, sf)) == brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sql_agrees_with_brute_force(sf):
+    import duckdb
+
+    from millrace.llm.queries import ORACLES
+
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '/root/testdata/{sf}/documents.parquet'")
+    rows = c.sql("SELECT doc_id, text FROM documents").fetchall()
+    found = c.sql(ORACLES["op10_parity_join"])
+    assert found.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(found.fetchall(), key=str) == brute(rows, 3, 90)
