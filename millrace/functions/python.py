@@ -49,12 +49,6 @@ def jsonb_contains(whole: str, part: str) -> bool:
     return contains(json.loads(whole), json.loads(part))
 
 
-def _steps(value, keys: list[str]):
-    for key in keys:
-        yield int(key) if isinstance(value, list) else key
-        value = value[int(key)] if isinstance(value, list) else value.get(key)
-
-
 def jsonb_set(text: str, path: list, fresh: str) -> str:
     value = json.loads(text)
     at = value

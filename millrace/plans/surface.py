@@ -68,3 +68,25 @@ def rollup_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("grouping_sets_operator", "SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY GROUPING SETS ((p_brand), (p_size))")
 def grouping_sets_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.grouping_sets(table(spark, sf_dir, "part"), [["p_brand"], ["p_size"]], [F.count("*").alias("n")])
+
+
+@register("exclude_current_row", "SELECT c_custkey, round(sum(c_acctbal) OVER w, 4) AS s, count(c_acctbal) OVER w AS n, max(c_acctbal) OVER w AS m FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE CURRENT ROW)")
+def exclude_current_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.operators.windows import excluding_current_row
+
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    for function, name in (("sum", "s"), ("count", "n"), ("max", "m")):
+        rows = excluding_current_row(rows, ["c_nationkey"], [F.col("c_custkey")], "c_acctbal", function, name, -2, 2)
+    return rows.select("c_custkey", F.round("s", 4).alias("s"), "n", "m")
+
+
+@register("table_as_of_version", "SELECT count(*) AS now, (SELECT count(*) FROM region WHERE r_regionkey < 3) AS before FROM region")
+def table_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.sources.tables import Table
+
+    rows = table(spark, sf_dir, "region")
+    kept = Table(spark, "versions", rows.schema, ["r_regionkey"])
+    kept.insert(rows.filter("r_regionkey < 3"))
+    then = kept.version
+    kept.insert(rows)
+    return kept.read().agg(F.count("*").alias("now")).crossJoin(kept.read(then).agg(F.count("*").alias("before")))

@@ -85,8 +85,9 @@ def read(spark: SparkSession, options: dict[str, str], columns: str | None = Non
         return spark.read.format("jdbc").options(**jdbc_options(options)).load()
     if kind == "kafka":
         messages = reader.format("kafka").options(**kafka_options(options)).load()
-        if options.get("format", "plain").lower() == "debezium":
-            return formats.from_debezium(messages, ", ".join(f"{n}: {t}" for n, t in fields.items()))
+        envelopes = {"debezium": formats.from_debezium, "maxwell": formats.from_maxwell, "canal": formats.from_canal}
+        if envelope := envelopes.get(options.get("format", "plain").lower()):
+            return envelope(messages, ", ".join(f"{n}: {t}" for n, t in fields.items()))
         return formats.decode(messages, encode, schema).select(*fields) if schema else messages
     if kind in FORMATS:
         return reader.format(FORMATS[kind]).options(**{k: v for k, v in options.items() if k != "connector"}).load(*([options["path"]] if "path" in options else []))

@@ -33,6 +33,22 @@ def from_debezium(df: DataFrame, schema: str, value: str = "value") -> DataFrame
     return parsed.select(F.explode(rows).alias("c")).select("c.row.*", "c.op")
 
 
+def from_maxwell(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """Rows with op from Maxwell messages; an update carries the new row, with the old values of what changed."""
+    m = F.from_json(F.col(value).cast("string"), f"type string, data struct<{schema}>")
+    parsed = df.select(m.alias("m")).filter(F.col("m.type").isin("insert", "update", "delete", "bootstrap-insert"))
+    op = F.when(F.col("m.type") == "delete", DELETE).when(F.col("m.type") == "update", UPDATE_INSERT).otherwise(INSERT)
+    return parsed.select("m.data.*", op.alias("op"))
+
+
+def from_canal(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """Rows with op from Canal messages, each with an array of rows."""
+    m = F.from_json(F.col(value).cast("string"), f"type string, data array<struct<{schema}>>")
+    parsed = df.select(m.alias("m")).filter(F.col("m.type").isin("INSERT", "UPDATE", "DELETE"))
+    op = F.when(F.col("m.type") == "DELETE", DELETE).when(F.col("m.type") == "UPDATE", UPDATE_INSERT).otherwise(INSERT)
+    return parsed.select(op.alias("op"), F.explode("m.data").alias("r")).select("r.*", "op")
+
+
 def _key(keys: list[str]) -> Column:
     return F.to_json(F.struct(*keys))
 

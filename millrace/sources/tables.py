@@ -48,8 +48,9 @@ class Table:
         if not self.version:
             self._write(self.spark.createDataFrame([], self.schema), [])
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{self.version}")
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table as it is, or as it was at a version."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{self.version if version is None else version}")
 
     def _write(self, rows: DataFrame, changes: list[DataFrame]) -> None:
         number = self.version + 1

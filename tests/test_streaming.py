@@ -107,3 +107,34 @@ def test_connectors_and_generators(spark, tmp_path):
     assert kinds == {0: 10, 1: 30, 2: 460}
     with pytest.raises(ValueError, match="no connector"):
         read(spark, {"connector": "mqtt"})
+
+
+def test_other_envelopes(spark):
+    rows_ = spark.createDataFrame([('{"type":"insert","data":{"k":1,"v":"a"}}',), ('{"type":"update","data":{"k":1,"v":"b"},"old":{"v":"a"}}',), ('{"type":"delete","data":{"k":1,"v":"b"}}',), ('{"type":"table-create"}',)], "value string")
+    assert sorted(tuple(r) for r in formats.from_maxwell(rows_, "k: int, v: string").collect()) == [(1, "a", 1), (1, "b", 2), (1, "b", 3)]
+    canal = spark.createDataFrame([('{"type":"INSERT","data":[{"k":"1","v":"a"},{"k":"2","v":"b"}]}',)], "value string")
+    assert rows(formats.from_canal(canal, "k: string, v: string")) == [("1", "a", 1), ("2", "b", 1)]
+
+
+def test_window_functions_on_closed_rows(spark):
+    buffer = views.SortBuffer(Table(spark, "held2", SCHEMA), "tm", 60)
+    out = Table(spark, "out2", T.StructType([*SCHEMA.fields, T.StructField("before", T.IntegerType())]))
+    run = views.over_closed_rows(buffer, [], {"before": lambda w: F.lag("foo").over(w)}, Table(spark, "hist2", SCHEMA), out)
+    batch = lambda *v: spark.createDataFrame([(at(t), x) for t, x in v], SCHEMA)
+    run(batch(("2024-01-01 00:00:30", 2), ("2024-01-01 00:00:00", 1), ("2024-01-01 00:03:00", 3)), 0)
+    run(batch(("2024-01-01 00:02:30", 9), ("2024-01-01 00:09:00", 4)), 1)
+    assert sorted((r.foo, r.before) for r in out.read().collect()) == [(1, None), (2, 1), (3, 9), (9, 2)]
+
+
+def test_user_table_function(spark):
+    from millrace.functions.python import register_scalar, register_table
+
+    class Letters:
+        def eval(self, text: str):
+            for c in text or "":
+                yield c, ord(c)
+
+    register_table(spark, "letters", Letters, "letter string, code int")
+    assert rows(spark.sql("SELECT * FROM letters('ab')")) == [("a", 97), ("b", 98)]
+    register_scalar(spark, "shout", lambda s: s.upper() + "!", "string")
+    assert spark.sql("SELECT shout('hi') AS x").first().x == "HI!"
