@@ -108,7 +108,7 @@ class Vocabulary:
 
 
 class TrieEncoder:
-    def __init__(self, path: str, remembered: int = 300_000) -> None:
+    def __init__(self, path: str, remembered: int = 400_000) -> None:
         self.vocabulary = Vocabulary(path)
         self.words = regex.compile(PRE_TOKEN)
         added = sorted(self.vocabulary.added, key=len, reverse=True)
@@ -250,7 +250,7 @@ class TrieEncoder:
 _encoders: dict[tuple[str, int], TrieEncoder] = {}
 
 
-def encoder(path: str, remembered: int = 300_000) -> TrieEncoder:
+def encoder(path: str, remembered: int = 400_000) -> TrieEncoder:
     """One encoder for each process."""
     key = path, remembered
     if key not in _encoders:
@@ -263,7 +263,7 @@ def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTyp
     return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 300_000) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 400_000) -> DataFrame:
     """df with the token ids of its text, in one pass without a shuffle."""
     schema = with_field(df.schema, ids, T.ArrayType(T.IntegerType(), False))
 
