@@ -11,7 +11,8 @@ symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)
    node has more than e of them: some equal part of more is always kept by both.
 3. Keys are dealt by hash, packed, and nodes that share one meet. Groups beyond ``block`` are cut into blocks, each pair
    of blocks being a cell, so no task holds more than two blocks. Sketches and sizes discard pairs that can't link. A
-   cell of a few nodes gives the pairs of neighbours, a larger one for each node the nearest before it.
+   cell of a few nodes gives the pairs of neighbours, a larger one for each node the nearest before it; of those each
+   node keeps the nearest over all its cells.
 4. Wider sketches, of twelve bits for each possible difference, discard most false pairs; the others are verified on the
    sets themselves, and links joined to components. Then the cells with several components, now with wider sketches, give
    every pair across two components, which are verified as well: no link between components can be missed, and no pair
@@ -197,9 +198,9 @@ def folded(raw: list[bytes]) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, least), axis=0) for x in raw])
 
 
-def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarray | None, rows: int = 128) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a cell that may link: all with different labels, or without labels for each row the nearest before it. Rows are taken in strips, so memory is bounded by a strip."""
-    some, other = [], []
+def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarray | None, rows: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a cell that may link: all with different labels, or without labels for each row the nearest before it. Rows are taken in strips, so memory is bounded by a strip. The third array has their distances."""
+    some, other, far = [], [], []
     for at in range(1, len(n), rows):
         j = np.arange(at, min(len(n), at + rows))
         distance = np.zeros((len(j), j[-1]), np.int32)
@@ -213,16 +214,18 @@ def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarra
             hit = ok[np.arange(len(j)), nearest]
             some.append(nearest[hit])
             other.append(j[hit])
+            far.append(distance[np.flatnonzero(hit), nearest[hit]])
         else:
             ok &= label[j][:, None] != label[None, : j[-1]]
             r, i = np.nonzero(ok)
             some.append(i)
             other.append(j[r])
-    return np.concatenate(some), np.concatenate(other)
+            far.append(distance[r, i])
+    return np.concatenate(some), np.concatenate(other), np.concatenate(far)
 
 
 def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
-    """Pairs (a, b) to verify from rows (key, cell, size, node, n, sketch, label) of cells; across: only pairs with different labels, all of them."""
+    """Pairs (a, b) to verify from rows (key, cell, size, node, n, sketch, label) of cells. across: all pairs with different labels; else for each b the nearest a found in its cells."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -251,28 +254,35 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
         label = np.unique(np.array([x or b"" for x in table.column("label").to_pylist()], object), return_inverse=True)[1] if across else None
         starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
         lengths = np.diff(np.append(starts, len(key)))
-        some, other = [], []
+        some, other, far = [], [], []
         row = np.arange(len(key))
         if not across:
             limit = np.repeat(np.where(size[starts] <= FEW, starts + lengths, 0), lengths)
             i = row[row + 1 < limit]
-            ok, _ = may_link(n, sketches, i, i + 1, percent)
+            ok, distance = may_link(n, sketches, i, i + 1, percent)
             some.append(i[ok])
             other.append(i[ok] + 1)
+            far.append(distance[ok])
         for start, length in zip(starts.tolist(), lengths.tolist()):
             if length < 2 or size[start] <= FEW and not across:
                 continue
             cell_rows = slice(start, start + length)
-            i, j = compared(n[cell_rows], folded(raw[cell_rows]) if across else sketches[cell_rows], percent, label[cell_rows] if across else None)
+            i, j, d = compared(n[cell_rows], folded(raw[cell_rows]) if across else sketches[cell_rows], percent, label[cell_rows] if across else None)
             some.append(i + start)
             other.append(j + start)
-        pairs = {(min(nodes[a], nodes[b]), max(nodes[a], nodes[b])) for x, y in zip(some, other) for a, b in zip(x.tolist(), y.tolist()) if nodes[a] != nodes[b]}
+            far.append(d)
+        pairs: dict[tuple[bytes, bytes], int] = {}
+        for x, y, d in zip(some, other, far):
+            pairs.update(zip(zip((nodes[k] for k in x.tolist()), (nodes[k] for k in y.tolist())), d.tolist()))
         if pairs:
-            ordered = sorted(pairs)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in ordered], pa.binary()), pa.array([p[1] for p in ordered], pa.binary())], ["a", "b"])
-
-    ordered = rows.select("key", "cell", "size", "node", "n", "sketch", "label").repartition("key", "cell").sortWithinPartitions("key", "cell")
-    return ordered.mapInArrow(tidy(cells), "a binary, b binary").distinct()
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary()), pa.array(list(pairs.values()), pa.int32())], ["a", "b", "far"])
+
+    # rows of a cell come in order of node, so a is the smaller one
+    ordered = rows.select("key", "cell", "size", "node", "n", "sketch", "label").repartition("key", "cell").sortWithinPartitions("key", "cell", "node")
+    found_pairs = ordered.mapInArrow(tidy(cells), "a binary, b binary, far int")
+    if across:
+        return found_pairs.select("a", "b").distinct()
+    return found_pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("nearest")).select(F.col("nearest.a").alias("a"), "b")
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
