@@ -57,7 +57,7 @@ def dropped(*frames: DataFrame) -> None:
 
 
 #: bytes of an Arrow batch between Spark and Python
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:

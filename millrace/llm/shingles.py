@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 512 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -38,7 +38,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose column holds at most so many bytes (or single rows)."""
     import pyarrow.compute as pc
 
