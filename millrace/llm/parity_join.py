@@ -26,6 +26,7 @@ their own with that id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,8 @@ def wide_of(shingles: np.ndarray, percent: int) -> bytes:
 
 def wide_apart(a: bytes, b: bytes) -> int:
     """Hamming distance; the longer sketch is folded to the length of the other."""
+    if len(a) == len(b):
+        return (int.from_bytes(a, "little") ^ int.from_bytes(b, "little")).bit_count()
     x, y = folded([a, b])
     return int(np.bitwise_count(x ^ y).sum())
 
@@ -201,11 +204,15 @@ def folded(raw: list[bytes]) -> np.ndarray:
 def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarray | None, rows: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a cell that may link: all with different labels, or without labels for each row the nearest before it. Rows are taken in strips, so memory is bounded by a strip. The third array has their distances."""
     some, other, far = [], [], []
+    columns = np.ascontiguousarray(sketches.T)
     for at in range(1, len(n), rows):
         j = np.arange(at, min(len(n), at + rows))
-        distance = np.zeros((len(j), j[-1]), np.int32)
-        for w in range(sketches.shape[1]):
-            distance += np.bitwise_count(sketches[j, w][:, None] ^ sketches[None, : j[-1], w])
+        if len(j) * len(n) * sketches.shape[1] < 1 << 19:
+            distance = np.bitwise_count(sketches[j][:, None] ^ sketches[None, : j[-1]]).sum(axis=2, dtype=np.int32)
+        else:
+            distance = np.zeros((len(j), j[-1]), np.int32)
+            for w in range(sketches.shape[1]):
+                distance += np.bitwise_count(columns[w, j][:, None] ^ columns[w, None, : j[-1]])
         total = n[j][:, None] + n[None, : j[-1]]
         ok = (distance <= most_apart(total, percent)) & (np.arange(j[-1])[None, :] < j[:, None])
         ok &= 100 * np.minimum(n[j][:, None], n[None, : j[-1]]) >= percent * np.maximum(n[j][:, None], n[None, : j[-1]])
@@ -266,6 +273,15 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
         for start, length in zip(starts.tolist(), lengths.tolist()):
             if length < 2 or size[start] <= FEW and not across:
                 continue
+            if length <= FEW:  # pair by pair
+                few = [(i, j) for i in range(start, start + length) for j in range(i + 1, start + length) if label[i] != label[j] and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j])]
+                few = [(i, j, d) for i, j in few if (d := wide_apart(raw[i], raw[j])) <= most_apart(int(n[i] + n[j]), percent)]
+                if few:
+                    x, y, d = (np.array(v) for v in zip(*few))
+                    some.append(x)
+                    other.append(y)
+                    far.append(d)
+                continue
             cell_rows = slice(start, start + length)
             i, j, d = compared(n[cell_rows], folded(raw[cell_rows]) if across else sketches[cell_rows], percent, label[cell_rows] if across else None)
             some.append(i + start)
@@ -300,7 +316,6 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link, as links (u, v)."""
-    pairs = written(plausible(pairs, nodes, percent), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = ends.join(nodes, "node").select("row", "node")
 
@@ -349,14 +364,20 @@ def joined(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, blo
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     meet = meet.withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("cell", F.least("mine", "with") * F.lit(1 << 20).cast("long") + F.greatest("mine", "with"))
     cells = written(meet.join(nodes.drop("row", "wide"), "node").select("key", "cell", "size", "node", "n", "sketch"), "cells")
-    links = verified(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), docs, nodes, width, percent)
+    nearest = written(plausible(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), nodes, percent), "pairs")
+    links = verified(nearest, docs, nodes, width, percent)
     links = written(links, "verified")
     labelled = cells.drop("sketch").join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node"))
     # only keys whose nodes are in several components can add a link
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-    again = labelled.join(open_keys, "key", "left_semi").join(nodes.select("node", F.col("wide").alias("sketch")), "node")
-    more = written(pairs_of(again, percent, True), "pairs")
+    again = written(labelled.join(open_keys, "key", "left_semi"), "open")
     dropped(cells)
+    # wide sketches are sent in a few waves of keys, so that not all are on disk at once
+    waves = max(1, min(8, -(-again.count() // 800_000)))
+    wide = nodes.select("node", F.col("wide").alias("sketch"))
+    parts = [written(pairs_of(again.filter(F.pmod("key", F.lit(waves)) == w).join(wide, "node"), percent, True), "pairs") for w in range(waves)]
+    more = written(reduce(DataFrame.union, parts).distinct(), "pairs")
+    dropped(again, *parts)
     if not more.isEmpty():
         links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
     dropped(more)
