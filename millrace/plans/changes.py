@@ -125,6 +125,14 @@ def vector_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.lookup_join(queries, rows.select("vec_id", F.col("embedding").alias("vector")), 3).select("query_id", "vec_id", "rank")
 
 
+@register("vector_lookup_join_whole", "SELECT query_id, vec_id, rank FROM (SELECT q.vec_id AS query_id, v.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_sum([(v.embedding[i]::double - q.embedding[i]) ** 2 for i in range(1, 65)]), v.vec_id)::int AS rank FROM embeddings v, embeddings q) WHERE rank <= 3")
+def vector_lookup_join_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is a query."""
+    rows = table(spark, sf_dir, "embeddings")
+    queries = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return V.lookup_join(queries, rows.select("vec_id", F.col("embedding").alias("vector")), 3).select("query_id", "vec_id", "rank")
+
+
 @register("python_functions", """SELECT n_nationkey, round(gamma(n_nationkey % 5 + 1.5), 9) AS g, round(lgamma(n_nationkey + 1.5), 9) AS l, strip_accents('é' || n_name) AS a, n_nationkey % 2 = 1 AS c, '{"a":' || n_nationkey || '}' AS s, '{"b":1}' AS d FROM nation""")
 def python_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     P.install(spark)
