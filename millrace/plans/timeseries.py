@@ -8,7 +8,7 @@ from pyspark.sql import window as W
 
 from millrace.operators import grouping as G
 from millrace.operators import time as T
-from millrace.plans.catalogue import register, register_sql
+from millrace.plans.catalogue import ORACLES, register, register_sql
 from millrace.session import table
 
 register_sql("tumble_sql", "SELECT EXTRACT(epoch FROM window_start)::bigint AS w, event_type, count(*) AS n FROM TUMBLE(events, ts, INTERVAL '1 hour') GROUP BY window_start, event_type", "SELECT epoch(time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01'))::bigint AS w, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -63,8 +63,23 @@ def gap_fill_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.gap_fill(hourly(spark, sf_dir), "h", "1 hour", {"v": "interpolate"}).select(F.unix_seconds(F.col("h").cast("timestamp")).alias("h"), F.round("v", 5).alias("v"))
 
 
-def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").filter("event_type = 'purchase' AND event_id % 5 = 0")
+WHOLE = HOURLY.replace(" AND event_id % 5 = 0", "")
+
+
+@register("gap_fill_locf_whole", ORACLES["gap_fill_locf"].replace(HOURLY, WHOLE))
+def gap_fill_locf_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over every purchase."""
+    return T.gap_fill(hourly(spark, sf_dir, "true"), "h", "1 hour", {"v": "locf", "n": "keepnull"}).select(F.unix_seconds(F.col("h").cast("timestamp")).alias("h"), "n", "v")
+
+
+@register("gap_fill_interpolate_whole", ORACLES["gap_fill_interpolate"].replace(HOURLY, WHOLE))
+def gap_fill_interpolate_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over every purchase."""
+    return T.gap_fill(hourly(spark, sf_dir, "true"), "h", "1 hour", {"v": "interpolate"}).select(F.unix_seconds(F.col("h").cast("timestamp")).alias("h"), F.round("v", 5).alias("v"))
+
+
+def hourly(spark: SparkSession, sf_dir: str, some: str = "event_id % 5 = 0") -> DataFrame:
+    rows = table(spark, sf_dir, "events").filter(f"event_type = 'purchase' AND {some}")
     return T.tumble(rows, "ts", "1 hour").groupBy(F.col("window_start").alias("h")).agg(F.round(F.avg("value"), 6).alias("v"), F.count("*").alias("n"))
 
 
