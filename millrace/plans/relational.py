@@ -124,6 +124,13 @@ def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.range_join(table(spark, sf_dir, "part"), ranges, "p_size", "low", "high", 10).select("p_partkey", "low")
 
 
+@register("range_join_whole", "SELECT p_partkey, low FROM part JOIN (SELECT c_custkey AS low, c_custkey + 10 AS high FROM customer) r ON p_size >= low AND p_size < high")
+def range_join_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer makes a range."""
+    ranges = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("low"), (F.col("c_custkey") + 10).alias("high"))
+    return J.range_join(table(spark, sf_dir, "part"), ranges, "p_size", "low", "high", 10).select("p_partkey", "low")
+
+
 @register("interval_join", "SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL '1 hour' AND a.ts + INTERVAL '2 hours' WHERE a.event_type = 'view' AND b.event_type = 'purchase'")
 def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
