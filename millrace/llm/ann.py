@@ -3,7 +3,8 @@
 Vectors are scaled to length one and projected on ``projections`` directions (random orthonormal bases, drawn from a
 fixed seed). A block of vectors keeps each projection as a sorted array. A query looks at the window around its own
 value in every array; a vector collides once for each window it lies in. Virtual rehashing widens all windows by a
-factor until enough vectors (``share`` of the block) collide in at least ``threshold`` of the projections. All of those
+factor until enough distinct vectors (``share`` of the block's rows; copies of a vector count once) collide in at least
+``threshold`` of the projections. All of those
 are verified with the exact cosine of the original vectors in double precision, so ties and equal vectors are never
 cut. Every block gives each query its nearest few, and the nearest of those over all blocks win, ties to the smaller
 vec_id.
@@ -49,11 +50,14 @@ class Block:
         places = (self.vectors / self.norms[:, None]) @ self.bases
         self.order = np.argsort(places, axis=0).T.copy()
         self.sorted = np.take_along_axis(places.T, self.order, axis=1).copy()
+        #: one row of each distinct vector
+        self.first = np.zeros(len(vectors), bool)
+        self.first[np.unique(np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).reshape(-1), return_index=True)[1]] = True
 
     def candidates(self, queries: np.ndarray, threshold: float = THRESHOLD, share: float = SHARE, least: int = 64) -> list[np.ndarray]:
         """For each query, the rows that collide with it often enough."""
         n = len(self.norms)
-        enough = min(n, max(least, int(np.ceil(share * n))))
+        enough = min(int(self.first.sum()), max(least, int(np.ceil(share * n))))
         places = ((queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))) @ self.bases).T
         found: list[np.ndarray | None] = [None] * len(queries)
         counts = np.zeros((len(queries), n), np.int64)
@@ -69,7 +73,7 @@ class Block:
                     new = [part for o, x, y, c, d in zip(self.order, a[:, column].tolist(), b[:, column].tolist(), low[:, column].tolist(), high[:, column].tolist()) for part in (o[x:c], o[d:y])]
                 counts[q] += np.bincount(np.concatenate(new), minlength=n)
                 rows = np.flatnonzero(counts[q] >= threshold * len(places))
-                if len(rows) >= enough:
+                if len(rows) >= enough and np.count_nonzero(self.first[rows]) >= enough:
                     found[q] = rows
             still = np.array([found[q] is None for q in open_.tolist()], bool)
             open_, low, high = open_[still], a[:, still], b[:, still]
