@@ -9,7 +9,7 @@ short one, over all of its characters; a line fitted on documents kept out of th
 probability.
 
 Training takes a bounded sample: about ``sample`` labelled documents, half of each class where there are so many, those
-of the smallest hashes of doc_id, and at most ``per_document`` evenly spaced windows of each. Labels other than 0 and 1
+of the smallest hashes of doc_id, with all windows of each. Labels other than 0 and 1
 are left out; a repeated label counts once for each row. Empty and null texts have no features and get the score of no
 evidence. With labels of one class only, or none, every score is the smoothed share of toxic labels.
 """
@@ -47,10 +47,10 @@ def blocks(text: str) -> list[np.ndarray]:
     return out
 
 
-def windows(text: str, most: int) -> list[str]:
-    """At most so many windows, evenly spaced."""
+def windows(text: str, most: int | None = None) -> list[str]:
+    """All windows, or at most so many, evenly spaced."""
     count = max(1, -(-len(text) // BLOCK) - 1)
-    pick = range(count) if count <= most else np.unique(np.linspace(0, count - 1, most).astype(int))
+    pick = range(count) if most is None or count <= most else np.unique(np.linspace(0, count - 1, most).astype(int))
     return [text[k * BLOCK : (k + 2) * BLOCK] for k in pick]
 
 
@@ -152,7 +152,7 @@ def fit(documents: list[tuple[list[str], int]], prior: float, rounds: int = 20,
     return model
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = 2_000, per_document: int = 8) -> Model:
+def train(documents: DataFrame, labels: DataFrame, sample: int = 2_000) -> Model:
     """A model of documents (doc_id, text) by labels (doc_id, toxic)."""
     marked = only(labels, "doc_id", "toxic").filter("toxic IN (0, 1) AND doc_id IS NOT NULL")
     sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -164,14 +164,9 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 2_000, per_docu
     chosen = marked.filter(spread < share)  # about `sample` rows, whatever the input
     picked = only(documents, "doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [windows(t, per_document) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], ["doc_id", "toxic", "windows"])
-
-    rows = picked.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(tidy(cut), "doc_id long, toxic int, windows array<string>").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["windows"]))
-    return fit([(r["windows"], r["toxic"]) for r in rows], prior)
+    rows = picked.select("doc_id", F.col("toxic").cast("int"), "text").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
+    return fit([(windows(r["text"]), r["toxic"]) for r in rows], prior)
 
 
 def scored(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
