@@ -104,23 +104,23 @@ def fit(documents: list[tuple[list[str], int]], prior: float, rounds: int = 20,
     weight = np.array([v for _, _, v in texts])
     for t in (0, 1):
         weight[y == t] *= 0.5 / weight[y == t].sum()
-    ends = np.cumsum([0, *map(len, features)])
-    flat = np.concatenate(features)
-    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(ends))
-    del features
     # naive Bayes: windows of a class that have the feature; what one window alone has says nothing
-    toxic = y[row] == 1
-    of_toxic = np.bincount(flat[toxic], minlength=1 << BITS).astype(np.float32)
-    of_clean = np.bincount(flat[~toxic], minlength=1 << BITS).astype(np.float32)
+    of_clean, of_toxic = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
+    for of, t in ((of_clean, 0), (of_toxic, 1)):
+        own = np.flatnonzero(y == t)
+        for at in range(0, len(own), 1_000):
+            of += np.bincount(np.concatenate([features[i] for i in own[at : at + 1_000]]), minlength=1 << BITS).astype(np.float32)
     ratio = np.log((of_toxic + 1) / (of_toxic.sum() + (1 << BITS))) - np.log((of_clean + 1) / (of_clean.sum() + (1 << BITS)))
     ratio = ratio.astype(np.float32)
     ratio[of_toxic + of_clean < 3] = 0
-    del toxic
-    use = ratio[flat] != 0
-    flat, row = flat[use], row[use]
-    ends = np.searchsorted(row, np.arange(len(texts) + 1))
-    used, flat = np.unique(flat, return_inverse=True)
-    flat, r = flat.astype(np.int32), ratio[used]
+    used = np.flatnonzero(ratio)
+    place = np.zeros(1 << BITS, np.int32)
+    place[used] = np.arange(len(used))
+    for i, f in enumerate(features):  # one at a time, so that memory holds them once
+        features[i] = place[f[ratio[f] != 0]]
+    ends = np.cumsum([0, *map(len, features)])
+    flat, r = np.concatenate(features), ratio[used]
+    del features
     # Adam over small batches; the second half of the passes is averaged
     beta, mean = np.full(len(used), 0.05, np.float32), np.zeros(len(used), np.float32)
     first, second = np.zeros(len(used), np.float32), np.zeros(len(used), np.float32)
