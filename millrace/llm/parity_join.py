@@ -9,24 +9,27 @@ symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)
    shingles are dealt by hash into D + 1 + e parts for the band's largest D; parts are XORed to 64-bit words. A pair
    that links has at least e + 1 equal parts. So parts of one shingle or none, which say little, are left out unless a
    node has more than e of them: some equal part of more is always kept by both.
-3. Keys are dealt by hash, packed, and nodes that share one meet. Groups beyond ``block`` are cut into blocks, each pair
-   of blocks being a cell, so no task holds more than two blocks. Sketches and sizes discard pairs that can't link. A
-   cell of a few nodes gives the pairs of neighbours, a larger one for each node the nearest before it; of those each
-   node keeps the nearest over all its cells.
+3. Keys are dealt by hash, packed, and nodes that share one meet. The keys whose smallest node is the same make one
+   cluster with all their nodes: two nodes with a key in common are in a cluster in common, and a node of a group of near
+   copies is in a few clusters, while it has many keys. Clusters beyond ``block`` are cut into blocks, each pair of blocks
+   being a cell, so no task holds more than two blocks. Sketches and sizes discard pairs that can't link. A cell of a few
+   nodes gives the pairs of neighbours, a larger one for each node the nearest before it; of those each node keeps the
+   nearest over all its cells.
 4. Wider sketches, of twelve bits for each possible difference, discard most false pairs; the others are verified on the
-   sets themselves, and links joined to components. Then the cells with several components, now with wider sketches, give
-   every pair across two components, which are verified as well: no link between components can be missed, and no pair
-   inside a component needs to be looked at.
+   sets themselves, and links joined to components. Then the clusters with several components, now with wider sketches,
+   give every pair across two components, which are verified as well: no link between components can be missed, and no
+   pair inside a component needs to be looked at.
 
 Null and empty texts and those without words have no shingles and link with nothing. Fewer words than the width are one
-shingle. Rows with a null doc_id keep a null component and link nothing else. Rows that repeat a doc_id are documents of
-their own with that id.
+shingle. For ``joined``, rows with a null doc_id keep a null component and link nothing else, and rows that repeat a
+doc_id are documents of their own with that id. ``one_of_each`` decides by row: of rows that are linked, whatever their
+ids, one stays. Equal rows and ties change nothing, an empty table gives an empty one, and other columns, whatever their
+names, are kept by ``one_of_each`` and left out by ``joined``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -113,20 +116,20 @@ def words_of(shingles: np.ndarray, percent: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, node (null without shingles), n and sketches of each text."""
+    """doc_id, mark, node (null without shingles), n and sketches of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), width)
                 columns = [pa.array([f(s) if len(s) else None for s in sets], pa.binary()) for f in (node_of, sketch_of, lambda s: wide_of(s, percent))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), *columns], ["doc_id", "n", "node", "sketch", "wide"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array(list(map(len, sets)), pa.int64()), *columns], ["doc_id", "mark", "n", "node", "sketch", "wide"])
 
-    return docs.mapInArrow(tidy(run), "doc_id long, n long, node binary, sketch binary, wide binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, mark long, n long, node binary, sketch binary, wide binary")
 
 
 KEYED = "part int, n int, nodes binary, keys binary"
-MET = "key long, size long, node binary"
+MET = "cluster long, node binary"
 
 
 def keyed(docs: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
@@ -160,25 +163,31 @@ def keyed(docs: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
 
 
 def met(table: pa.Table) -> pa.Table:
-    """Of one part, the keys that several nodes have: each with every node and the number of nodes."""
+    """Of one part, the nodes of keys that several nodes have, each with its clusters: the smallest nodes of its keys."""
     keys, nodes = [], []
     for row in table.to_pylist():
         key, index = unsqueezed(row["keys"], row["n"], "<u8", "<u4")
         keys.append(key)
         nodes.append(np.frombuffer(row["nodes"], "<u8").reshape(-1, 2)[index])
     key, node = np.concatenate(keys), np.concatenate(nodes)
+    del keys, nodes, table
     order = np.lexsort((node[:, 1], node[:, 0], key))
     key, node = key[order], node[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     fresh = new | np.concatenate([[True], (node[1:] != node[:-1]).any(axis=1)])
     key, node = key[fresh], node[fresh]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key))))
-    keep = size > 1
-    raw = np.ascontiguousarray(node[keep])
-    column = pa.Array.from_buffers(pa.binary(16), len(raw), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+    size = np.diff(np.append(starts, len(key)))
+    cluster, keep = np.repeat(node[starts, 0], size), np.repeat(size, size) > 1
+    cluster, node = cluster[keep], node[keep]
+    order = np.lexsort((node[:, 1], node[:, 0], cluster))
+    cluster, node = cluster[order], node[order]
+    if len(cluster):
+        fresh = np.concatenate([[True], (cluster[1:] != cluster[:-1]) | (node[1:] != node[:-1]).any(axis=1)])
+        cluster, node = cluster[fresh], np.ascontiguousarray(node[fresh])
+    column = pa.Array.from_buffers(pa.binary(16), len(node), [None, pa.py_buffer(node.tobytes())]).cast(pa.binary())
     release()
-    return pa.table({"key": pa.array(key[keep].view(np.int64)), "size": pa.array(size[keep]), "node": column})
+    return pa.table({"cluster": pa.array(cluster.view(np.int64)), "node": column})
 
 
 def apart(sketches: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -232,7 +241,7 @@ def compared(n: np.ndarray, sketches: np.ndarray, percent: int, label: np.ndarra
 
 
 def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
-    """Pairs (a, b) to verify from rows (key, cell, size, node, n, sketch, label) of cells. across: all pairs with different labels; else for each b the nearest a found in its cells."""
+    """Pairs (a, b) to verify from rows (cluster, cell, node, n, sketch, label) of cells. across: all pairs with different labels; else for each b the nearest a found in its cells."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -240,7 +249,7 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            key = np.stack([batch.column(c).to_numpy() for c in ("key", "cell")])
+            key = np.stack([batch.column(c).to_numpy() for c in ("cluster", "cell")])
             last = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
             if len(last):  # all but the last cell are complete
                 table = pa.Table.from_batches(held).combine_chunks()
@@ -253,8 +262,7 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
 
     def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
-        key = table.column("key").to_numpy()
-        cell, size, n = (table.column(c).to_numpy() for c in ("cell", "size", "n"))
+        key, cell, n = (table.column(c).to_numpy() for c in ("cluster", "cell", "n"))
         nodes = table.column("node").to_pylist()
         raw = table.column("sketch").to_pylist()
         sketches = None if across else np.frombuffer(b"".join(raw), np.uint64).reshape(-1, SKETCH // 64)
@@ -264,14 +272,14 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
         some, other, far = [], [], []
         row = np.arange(len(key))
         if not across:
-            limit = np.repeat(np.where(size[starts] <= FEW, starts + lengths, 0), lengths)
+            limit = np.repeat(np.where(lengths <= FEW, starts + lengths, 0), lengths)
             i = row[row + 1 < limit]
             ok, distance = may_link(n, sketches, i, i + 1, percent)
             some.append(i[ok])
             other.append(i[ok] + 1)
             far.append(distance[ok])
         for start, length in zip(starts.tolist(), lengths.tolist()):
-            if length < 2 or size[start] <= FEW and not across:
+            if length < 2 or length <= FEW and not across:
                 continue
             if length <= FEW:  # pair by pair
                 few = [(i, j) for i in range(start, start + length) for j in range(i + 1, start + length) if label[i] != label[j] and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j])]
@@ -284,8 +292,15 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
                 continue
             cell_rows = slice(start, start + length)
             i, j, d = compared(n[cell_rows], folded(raw[cell_rows]) if across else sketches[cell_rows], percent, label[cell_rows] if across else None)
-            some.append(i + start)
-            other.append(j + start)
+            i, j = i + start, j + start
+            if across:  # sketches were folded to the shortest of the cell: look at longer ones in full
+                full = np.array([min(len(raw[x]), len(raw[y])) for x, y in zip(i.tolist(), j.tolist())], np.int64) > min(map(len, raw[cell_rows]))
+                d = d.copy()
+                d[full] = [wide_apart(raw[x], raw[y]) for x, y in zip(i[full].tolist(), j[full].tolist())]
+                near = d <= most_apart(n[i] + n[j], percent)
+                i, j, d = i[near], j[near], d[near]
+            some.append(i)
+            other.append(j)
             far.append(d)
         pairs: dict[tuple[bytes, bytes], int] = {}
         for x, y, d in zip(some, other, far):
@@ -294,7 +309,7 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary()), pa.array(list(pairs.values()), pa.int32())], ["a", "b", "far"])
 
     # rows of a cell come in order of node, so a is the smaller one
-    ordered = rows.select("key", "cell", "size", "node", "n", "sketch", "label").repartition("key", "cell").sortWithinPartitions("key", "cell", "node")
+    ordered = rows.select("cluster", "cell", "node", "n", "sketch", "label").repartition("cluster", "cell").sortWithinPartitions("cluster", "cell", "node")
     found_pairs = ordered.mapInArrow(tidy(cells), "a binary, b binary, far int")
     if across:
         return found_pairs.select("a", "b").distinct()
@@ -317,23 +332,18 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link, as links (u, v)."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = ends.join(nodes, "node").select("row", "node")
+    # several rows may have the wanted id: mark and digest tell which of them has the text
+    wanted = ends.join(nodes, "node").select(F.col("row.doc_id").alias("id"), F.col("row.mark").alias("of"), "node")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), width)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
-
-    # several rows may have the wanted id: the digest tells which of them has the text
-    sets = docs.join(wanted.withColumnRenamed("row", "doc_id"), "doc_id").select("node", "text").mapInArrow(tidy(shingled), "node binary, shingles binary")
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [node_of(np.frombuffer(s, np.uint64)) == node for node, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield batch.filter(pa.array(keep))
+                keep = [node_of(s) == node for s, node in zip(sets, part.column("node").to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = written(sets.mapInArrow(tidy(own), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["id"]) & (docs["mark"] == wanted["of"])).select("node", "text")
+    sets = written(texts.mapInArrow(tidy(shingled), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,45 +360,70 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, pe
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(tidy(link), "u binary, v binary")
 
 
-def joined(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = 4_096) -> DataFrame:
-    """doc_id, n_shingles and component_id of each document, the smallest doc_id reachable by links."""
-    docs = only(documents, "doc_id", "text")
+def linked(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Of docs (doc_id, mark, text): doc_id, mark, n and node of each row, and the root of each node, the same for all that links reach.
+
+    mark tells rows of one doc_id apart.
+    """
     each = written(described(docs, width, percent), "sketches")
-    nodes = each.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("row")
+    nodes = each.filter("node IS NOT NULL").groupBy("node").agg(row, F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
     nodes = written(nodes, "nodes")
     total = each.agg(F.sum("n").alias("x")).first()["x"] or 0
     parts = max(12, -(-total * (100 - percent) // (50 * 1_000_000)))  # about a million keys each
-    meet = keyed(docs.filter("doc_id IS NOT NULL"), width, percent, parts).groupBy("part").applyInArrow(met, MET)
-    meet = meet.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    meet = written(keyed(docs, width, percent, parts).groupBy("part").applyInArrow(met, MET).distinct(), "clusters")
+    big = meet.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
     # a row is in the cells of its block with every block
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    meet = meet.withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("cell", F.least("mine", "with") * F.lit(1 << 20).cast("long") + F.greatest("mine", "with"))
-    cells = written(meet.join(nodes.drop("row", "wide"), "node").select("key", "cell", "size", "node", "n", "sketch"), "cells")
+    cells = meet.join(big, "cluster", "left").fillna(1, ["blocks"]).withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cells = cells.select("cluster", (F.least("mine", "with") * F.lit(1 << 20).cast("long") + F.greatest("mine", "with")).alias("cell"), "node")
+    cells = written(cells.join(nodes.select("node", "n", "sketch"), "node"), "cells")
     nearest = written(plausible(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), nodes, percent), "pairs")
-    links = verified(nearest, docs, nodes, width, percent)
-    links = written(links, "verified")
-    labelled = cells.drop("sketch").join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node"))
-    # only keys whose nodes are in several components can add a link
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-    again = written(labelled.join(open_keys, "key", "left_semi"), "open")
-    dropped(cells)
-    # wide sketches are sent in a few waves of keys, so that not all are on disk at once
-    waves = max(1, min(8, -(-again.count() // 800_000)))
-    wide = nodes.select("node", F.col("wide").alias("sketch"))
-    parts = [written(pairs_of(again.filter(F.pmod("key", F.lit(waves)) == w).join(wide, "node"), percent, True), "pairs") for w in range(waves)]
-    more = written(reduce(DataFrame.union, parts).distinct(), "pairs")
-    dropped(again, *parts)
+    links = written(verified(nearest, docs, nodes, width, percent), "verified")
+    labelled = cells.drop("sketch").join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+    # only clusters whose nodes are in several components can add a link
+    several = labelled.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("cluster")
+    again = written(labelled.join(several, "cluster", "left_semi"), "open")
+    dropped(meet, cells, nearest)
+    more = written(pairs_of(again.join(nodes.select("node", F.col("wide").alias("sketch")), "node"), percent, True), "pairs")
+    dropped(again)
     if not more.isEmpty():
         links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
     dropped(more)
     roots = components(links)
-    placed = nodes.select("node", "row").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = placed.groupBy("root").agg(F.min("row").alias("component_id"))
-    belongs = placed.join(smallest, "root").select("node", "component_id")
-    return each.join(belongs, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    placed = nodes.select("node", "row").join(roots, "node", "left").select("node", "row", F.coalesce("root", "node").alias("root"))
+    return each.drop("sketch", "wide"), placed
 
 
-def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents without those that a smaller doc_id is linked to, directly or over others."""
-    found = joined(documents, width, percent).filter("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
+def joined(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = 4_096) -> DataFrame:
+    """doc_id, n_shingles and component_id of each document, the smallest doc_id reachable by links."""
+    docs = only(documents, "doc_id", "text").withColumn("mark", F.xxhash64("text"))
+    known = F.col("doc_id").isNotNull()
+    each, placed = linked(docs.filter(known), width, percent, block)
+    smallest = placed.groupBy("root").agg(F.min("row.doc_id").alias("component_id"))
+    belongs = placed.join(smallest, "root").select("node", "component_id")
+    out = each.join(belongs, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    others = described(docs.filter(~known), width, percent)
+    return out.union(others.select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
+
+
+def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = 4_096) -> DataFrame:
+    """The documents without those that are linked, directly or over others, to one with a smaller doc_id (null is largest).
+
+    Of linked rows with the same doc_id the one whose text has the smallest hash stays, of equal ones any.
+    """
+    names = documents.columns
+    docs = only(documents, "doc_id", "text").withColumn("mark", F.xxhash64("text"))
+    each, placed = linked(docs, width, percent, block)
+    first = placed.groupBy("root").agg(F.min("row").alias("first"))
+    ranked = each.filter("node IS NOT NULL").groupBy("node", "doc_id", "mark").agg(F.count("*").alias("copies")).join(placed.select("node", "root"), "node").join(first, "root")
+    stays = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("mark") == F.col("first.mark"))
+    # gone rows, and rows that stay once though they are there several times
+    told = written(ranked.withColumn("stays", stays).filter("NOT stays OR copies > 1").select(F.col("doc_id").alias("id"), "mark", "stays"), "told")
+    own = documents.toDF(*[n if n in ("doc_id", "text") else f"_{k}" for k, n in enumerate(names)]).withColumn("hash", F.xxhash64("text"))
+    same = own["doc_id"].eqNullSafe(told["id"]) & (own["hash"] == told["mark"])
+    out = own.join(told, same, "left_anti").drop("hash")
+    once = told.filter("stays")
+    if not once.isEmpty():
+        out = out.union(own.join(once, same, "left_semi").dropDuplicates(["doc_id", "hash"]).drop("hash"))
+    return out.toDF(*names)

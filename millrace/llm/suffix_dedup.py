@@ -131,10 +131,11 @@ class Chunk:
     def __init__(self, table: pa.Table) -> None:
         table = table.combine_chunks()
         ids = table.column("doc_id").combine_chunks().cast(pa.int64()).fill_null(LAST).to_numpy()
-        texts = table.column("text").combine_chunks()
-        digest = np.array([hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=8).digest() for t in texts.to_pylist()], object)
-        order = np.lexsort((digest.astype("S8") if len(digest) else digest, ids))
+        data, offsets = buffer_of(table.column("text").combine_chunks())
+        digest = np.array([int.from_bytes(hashlib.blake2b(data[a:b], digest_size=8).digest(), "big") for a, b in zip(offsets[:-1], offsets[1:])], np.uint64)
+        order = np.lexsort((digest, ids))
         self.table = table.take(pa.array(order))
+        del table, data, offsets
         self.ids = ids[order]
         self.data, self.offsets = buffer_of(self.table.column("text").combine_chunks())
         self.runs = runs(self.data, self.offsets)
@@ -159,7 +160,9 @@ class Chunk:
 
 LISTED = "part int, chunk long, n int, runs binary, owners binary"
 VERDICT = "chunk long, level int, part int, bits binary"
-SENT = "part int, chunk long, n int, sizes binary, owners binary, bytes binary"
+SENT = "part int, chunk long, n int, heads binary, bytes binary"
+#: A part's anchors are dealt to so many shelves, and shelves worked through until they hold so many bytes.
+SHELVES, SHELF_BYTES = 256, 1 << 20
 #: Verdicts on a run: nothing known, its content is in a smaller document, to be refined.
 OPEN, REMOVED, REFINE = 0, 1, 2
 
@@ -171,6 +174,8 @@ def listed(parts: int):
             owners, index = np.unique(chunk.owner[start:end], return_inverse=True)
             content = np.ascontiguousarray(chunk.content[start:end].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
             rows.append((part, number, end - start, squeezed(chunk.anchor[start:end], content, index.astype("<u4")), squeezed(owners)))
+        del chunk
+        release()
         return as_table(rows, LISTED)
 
     return run
@@ -226,6 +231,7 @@ def sent(parts: int):
         if not texts.num_rows or not bits.num_rows:
             return as_table([], SENT)
         chunk, number, rows = Chunk(texts), texts.column("chunk")[0].as_py(), []
+        shelf = (dealt(chunk.anchor, parts * SHELVES) % SHELVES).astype(np.uint8)
         verdict = verdicts(chunk, bits, parts)
         for part, start, end in chunk.slices(parts):
             pick = np.flatnonzero(verdict[start:end] == REFINE) + start
@@ -233,20 +239,47 @@ def sent(parts: int):
                 lead = chunk.lead[pick]
                 first, size = chunk.runs["first"][lead], (chunk.runs["last"][lead] - chunk.runs["first"][lead] + LENGTH).astype("<u2")
                 at = np.repeat(first - np.concatenate([[0], np.cumsum(size[:-1], dtype=np.int64)]), size) + np.arange(int(size.sum()))
-                rows.append((part, number, len(pick), squeezed(size), squeezed(chunk.owner[pick]), pa.compress(chunk.data[at].tobytes(), codec="zstd", asbytes=True)))
+                rows.append((part, number, len(pick), squeezed(size, shelf[pick], chunk.owner[pick]), pa.compress(chunk.data[at].tobytes(), codec="zstd", asbytes=True)))
+        del chunk
+        release()
         return as_table(rows, SENT)
 
     return run
 
 
 def settled(table: pa.Table) -> pa.Table:
-    """Bits for the windows of the contents of one part: which are in a smaller document."""
+    """Bits for the windows of the contents of one part: which are in a smaller document.
+
+    Buckets of an anchor lie on one shelf, so a few shelves at a time are refined on their own.
+    """
     rows = table.sort_by("chunk").to_pylist()
-    sizes = [unsqueezed(r["sizes"], r["n"], "<u2")[0].astype(np.int64) for r in rows]
-    owner = np.concatenate([unsqueezed(r["owners"], r["n"], "i8")[0] for r in rows])
-    data = np.frombuffer(b"".join(pa.decompress(r["bytes"], int(s.sum()), codec="zstd", asbytes=True) for r, s in zip(rows, sizes)), np.uint8)
-    size = np.concatenate(sizes)
-    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+    heads = [unsqueezed(r["heads"], r["n"], "<u2", "u1", "i8") for r in rows]
+    size, shelf, owner = (np.concatenate(x) for x in zip(*heads))
+    size = size.astype(np.int64)
+    data = np.frombuffer(b"".join(pa.decompress(r["bytes"], int(h[0].sum(dtype=np.int64)), codec="zstd", asbytes=True) for r, h in zip(rows, heads)), np.uint8)
+    keys, ends = [(r["chunk"], r["part"]) for r in rows], np.cumsum([0, *(r["n"] for r in rows)])
+    del rows, heads, table
+    begin = np.cumsum(size) - size
+    held = np.cumsum(np.bincount(shelf, size, minlength=SHELVES).astype(np.int64))
+    mask = np.zeros(len(size), "<u4")
+    low = 0
+    while low < SHELVES:
+        before = held[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(held, before + SHELF_BYTES, "right")))
+        pick = np.flatnonzero((shelf >= low) & (shelf < high))
+        low = high
+        if len(pick):
+            own = size[pick]
+            first = np.cumsum(own) - own
+            at = np.repeat(begin[pick] - first, own) + np.arange(int(own.sum()))
+            mask[pick] = smaller_elsewhere(data[at], first, own, owner[pick])
+    del data
+    release()
+    return as_table([(chunk, 2, part, squeezed(mask[s:e])) for (chunk, part), s, e in zip(keys, ends, ends[1:])], VERDICT)
+
+
+def smaller_elsewhere(data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For contents laid end to end, a bit for each of their windows: whether a content with a smaller owner has it."""
     windows = size - LENGTH + 1
     mine = np.repeat(np.arange(len(size)), windows)
     place = np.arange(len(mine)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -256,9 +289,7 @@ def settled(table: pa.Table) -> pa.Table:
     least = np.minimum.reduceat(owner[mine[order]], starts)
     smallest = np.empty(len(bucket), np.int64)
     smallest[order] = np.repeat(least, np.diff(np.append(starts, len(order))))
-    mask = np.bincount(mine, np.where(owner[mine] > smallest, 1 << place, 0), minlength=len(size)).astype("<u4")
-    ends = np.cumsum([0, *(r["n"] for r in rows)])
-    return as_table([(r["chunk"], 2, r["part"], squeezed(mask[s:e])) for r, s, e in zip(rows, ends, ends[1:])], VERDICT)
+    return np.bincount(mine, np.where(owner[mine] > smallest, 1 << place, 0), minlength=len(size)).astype("<u4")
 
 
 def removed(chunk: Chunk, bits: pa.Table, parts: int) -> np.ndarray:
@@ -287,21 +318,31 @@ def removed(chunk: Chunk, bits: pa.Table, parts: int) -> np.ndarray:
 RESULT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
 
-def finished(parts: int, names: list[str]):
+def finished(parts: int, names: list[str], cut: bool):
+    """The rows of a chunk with what was found out, or (cut) with what stays as their text."""
+
     def run(texts: pa.Table, bits: pa.Table) -> pa.Table:
         if not texts.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip([*names, *RESULT.names], [*(texts.schema.field(n).type for n in names), pa.int64(), pa.int64(), pa.int64(), pa.binary()])})
+            extra = [] if cut else zip(RESULT.names, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))
+            return pa.table({**{n: pa.array([], texts.schema.field(n).type) for n in names}, **{n: pa.array([], t) for n, t in extra}})
         chunk = Chunk(texts)
         gone = removed(chunk, bits, parts)
-        rows = []
-        for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist()):
+        out, columns = chunk.table.select(names), ([], [], [], [])
+        texts = chunk.table.column("text").combine_chunks()
+        for k, (a, b) in enumerate(zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist())):
             own = gone[a:b]
-            spans = int(np.count_nonzero(own[1:] & ~own[:-1])) + int(len(own) > 0 and own[0])
-            rows.append((b - a, int(own.sum()), spans, chunk.data[a:b][~own].tobytes()))
-        n, r, s, kept = zip(*rows)
-        out = chunk.table.select(names)
-        for name, column, kind in zip(RESULT.names, (n, r, s, kept), (pa.int64(), pa.int64(), pa.int64(), pa.binary())):
-            out = out.append_column(name, pa.array(column, kind))
+            count = int(own.sum())
+            kept = chunk.data[a:b][~own].tobytes() if count or not cut else None
+            for column, value in zip(columns, (b - a, count, int(np.count_nonzero(own[1:] & ~own[:-1])) + int(len(own) > 0 and own[0]), kept)):
+                column.append(value)
+        if cut:
+            fresh = pa.array([texts[k].as_py() if kept is None else kept.decode("utf-8", "ignore") for k, kept in enumerate(columns[3])], texts.type)
+            out = out.set_column(out.schema.get_field_index("text"), "text", fresh)
+        else:
+            for name, column, kind in zip(RESULT.names, columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary())):
+                out = out.append_column(name, pa.array(column, kind))
+        del chunk, gone, columns
+        release()
         return out
 
     return run
@@ -330,11 +371,14 @@ def laid_down(df: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
     parts = max(12, -(-total // (8 << 20)))
     name = f"millrace_{uuid.uuid4().hex}"
     df.mapInArrow(tidy(number), schema).write.option("path", scratch(spark, "chunks")).bucketBy(min(parts, 100_000), "chunk").saveAsTable(name)
-    return spark.table(name), int(parts)
+    chunks = spark.table(name)
+    # the catalogue is needed for the buckets only; the frame keeps them, and an external table's files stay
+    spark.sql(f"DROP TABLE {name}")
+    return chunks, int(parts)
 
 
-def deduplicated(df: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
-    """df (with doc_id and text) with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
+def deduplicated(df: DataFrame, chunk_bytes: int = 2 << 20, cut: bool = False) -> DataFrame:
+    """df (with doc_id and text) with n_bytes, n_removed, n_spans and kept, the bytes that stay; or (cut) df with what stays as its text."""
     names = df.columns
     inner = df.toDF(*[n if n in ("doc_id", "text") else f"_{k}" for k, n in enumerate(names)])
     texts, parts = laid_down(inner, chunk_bytes)
@@ -343,8 +387,9 @@ def deduplicated(df: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
     first = written(pairs.applyInArrow(listed(parts), LISTED).groupBy("part").applyInArrow(judged, VERDICT), "verdicts")
     copies = pairs.cogroup(first.groupBy("chunk")).applyInArrow(sent(parts), SENT)
     second = written(copies.groupBy("part").applyInArrow(settled, VERDICT), "verdicts")
-    out = grouped.cogroup(first.union(second).groupBy("chunk")).applyInArrow(finished(parts, inner.columns), T.StructType([*inner.schema.fields, *RESULT.fields]))
-    return out.toDF(*names, *RESULT.names)
+    extra = [] if cut else RESULT.fields
+    out = grouped.cogroup(first.union(second).groupBy("chunk")).applyInArrow(finished(parts, inner.columns, cut), T.StructType([*inner.schema.fields, *extra]))
+    return out.toDF(*names, *(f.name for f in extra))
 
 
 def summary(documents: DataFrame) -> DataFrame:
@@ -355,13 +400,5 @@ def summary(documents: DataFrame) -> DataFrame:
 
 def cleaned(documents: DataFrame) -> DataFrame:
     """The documents with what stays as their text (characters cut apart by a removal go), n_chars following it."""
-    own = [f for f in documents.columns]
-    out = deduplicated(documents)
-
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [k.decode("utf-8", "ignore") if r else t for k, r, t in zip(batch.column("kept").to_pylist(), batch.column("n_removed").to_pylist(), batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field("text").type) if n == "text" else batch.column(n) for n in own], own)
-
-    text = out.mapInArrow(tidy(decoded), documents.schema)
-    return text.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in own else text
+    text = deduplicated(documents, cut=True)
+    return text.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in documents.columns else text
