@@ -7,8 +7,8 @@ symmetric difference by D = a + b - 2 * ceil(percent * (a + b) / (100 + percent)
    bits, each shingle flipping one, so the Hamming distance of two sketches is at most their symmetric difference.
 2. Sizes fall into bands by a factor of 1.4, and a size that can link into the next band joins there too. In a band the
    shingles are dealt by hash into D + 1 + e parts for the band's largest D; parts are XORed to 64-bit words. A pair
-   that links has at least e + 1 equal parts. So parts of one shingle or none, which say little, are left out unless a
-   node has more than e of them: some equal part of more is always kept by both.
+   that links has at least e + 1 equal parts. Each node leaves out up to e parts, those of no shingle first and then those
+   of one, which say little, in order of their keys: of e + 1 equal parts the last in that order is kept by both.
 3. Keys are dealt by hash, packed, and nodes that share one meet. The keys whose smallest node is the same make one
    cluster with all their nodes: two nodes with a key in common are in a cluster in common, and a node of a group of near
    copies is in a few clusters, while it has many keys. Clusters beyond ``block`` are cut into blocks, each pair of blocks
@@ -65,7 +65,7 @@ def plan(band: int, percent: int) -> tuple[int, int]:
     """Number of parts and spare parts of a band; no parts if only equal sets link there."""
     top = 2 * (int(BANDS[band + 1]) - 1)
     most = max(most_apart(s, percent) for s in range(max(2, top - 6), top + 1))
-    spare = 1 + (most + 1) // 10
+    spare = 1 + (most + 1) // 4
     return (most + 1 + spare, spare) if most > 0 else (0, 0)
 
 
@@ -111,7 +111,8 @@ def words_of(shingles: np.ndarray, percent: int) -> np.ndarray:
         folded = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(mix(shingles + np.uint64(0x1D8E4E27C47D124F)))])
         words = folded[ends[1:]] ^ folded[ends[:-1]]
         keys = mix(mix(words) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(band << 32)))
-        out.append(keys if np.count_nonzero(sizes < 2) > spare else keys[sizes > 1])
+        left_out = min(spare, int(np.count_nonzero(sizes < 2)))
+        out.append(keys[np.lexsort((keys, np.minimum(sizes, 2)))[left_out:]])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
