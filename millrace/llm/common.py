@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: what stands between the ASCII blanks.
@@ -66,6 +66,27 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def sieve(wanted: DataFrame, value: Column) -> DataFrame:
+    """A bitmap of the hashes value: at most 2**18 rows of 64 bits, so a broadcast of it is bounded whatever wanted holds; a full one lets everything through."""
+    bit = wanted.select(value.bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("bit"))
+    return bit.groupBy(F.shiftright("bit", 6).alias("sieve_word")).agg(F.expr("bit_or(shiftleft(1L, bit & 63))").alias("sieve_bits"))
+
+
+def sifted(rows: DataFrame, bits: DataFrame, value: Column, keep: bool = True) -> DataFrame:
+    """The rows whose hash value may be among those of the sieve, or (not keep) those whose hash is not; nothing is shuffled."""
+    bit = value.bitwiseAND(F.lit((1 << 24) - 1)).cast("int")
+    on = (F.shiftright(bit, 6) == F.col("sieve_word")) & (F.call_function("getbit", F.col("sieve_bits"), bit.bitwiseAND(F.lit(63))) == 1)
+    return rows.join(F.broadcast(bits), on, "left_semi" if keep else "left_anti")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, root) for every end of the links (u, v): root is the smallest end reachable.
 

@@ -181,9 +181,13 @@ def taken(documents: DataFrame) -> DataFrame:
 
 
 def mix(documents: DataFrame, **how) -> DataFrame:
-    """The documents of the mix: each as many times as it is taken."""
-    columns = documents.columns
-    chosen = mixed(documents, **how).filter("copies > 0").select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size", "copies")])
-    docs = sized(documents, name="__words")
-    match = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
-    return docs.join(chosen, match).withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*[F.col(f"`{c}`") for c in columns])
+    """The documents of the mix: each as many times as it is taken. Null ids and sources count as values, equal rows as units of their own, columns of any name are kept; an empty table gives an empty one.
+
+    The join is a shuffle of the documents at every size, as what the mix takes grows with them.
+    """
+    names = documents.columns
+    chosen = mixed(documents, **how).filter("copies > 0").select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "size", "copies")])
+    docs = sized(documents.toDF(*[n if n in ("doc_id", "source", "text") else f"_{k}" for k, n in enumerate(names)]), name="mix_words")
+    match = F.col("doc_id").eqNullSafe(F.col("mix_doc_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size"))
+    out = docs.join(chosen.hint("merge"), match).withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)")))
+    return out.select(*[F.col(n if n in ("doc_id", "source", "text") else f"_{k}") for k, n in enumerate(names)]).toDF(*names)

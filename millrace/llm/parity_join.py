@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_table, components, dealt, dropped, only, release, squeezed, tidy, unsqueezed, written
+from millrace.llm.common import as_table, components, dealt, dropped, only, release, sieve, sifted, squeezed, tidy, unsqueezed, written
 from millrace.llm.shingles import mix, shingle_sets, slices
 
 WIDTH, PERCENT = 5, 80
@@ -317,6 +317,15 @@ def pairs_of(rows: DataFrame, percent: int, across: bool) -> DataFrame:
     return found_pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("nearest")).select(F.col("nearest.a").alias("a"), "b")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+
+
+def among(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The nodes that may be among the wanted ones, sifted before they are shuffled."""
+    return sifted(nodes, sieve(wanted, F.xxhash64("node")), F.xxhash64("node"))
+
+
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs that the wider sketches leave."""
 
@@ -326,15 +335,17 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    left, right = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
+    known = among(nodes, ends_of(pairs)).select("node", "n", "wide")
+    left, right = known.toDF("a", "na", "wa"), known.toDF("b", "nb", "wb")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(tidy(near), "a binary, b binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link, as links (u, v)."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    ends = ends_of(pairs).distinct()
     # several rows may have the wanted id: mark and digest tell which of them has the text
-    wanted = ends.join(nodes, "node").select(F.col("row.doc_id").alias("id"), F.col("row.mark").alias("of"), "node")
+    wanted = written(ends.join(among(nodes, ends).select("node", "row"), "node").select(F.col("row.doc_id").alias("id"), F.col("row.mark").alias("of"), "node"), "wanted")
+    docs = sifted(docs, sieve(wanted, F.col("of")), F.col("mark"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,15 +389,16 @@ def linked(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataF
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     cells = meet.join(big, "cluster", "left").fillna(1, ["blocks"]).withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     cells = cells.select("cluster", (F.least("mine", "with") * F.lit(1 << 20).cast("long") + F.greatest("mine", "with")).alias("cell"), "node")
-    cells = written(cells.join(nodes.select("node", "n", "sketch"), "node"), "cells")
-    nearest = written(plausible(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), nodes, percent), "pairs")
+    cells = written(cells.join(among(nodes, meet).select("node", "n", "sketch"), "node"), "cells")
+    nearest = written(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), "nearest")
+    nearest = written(plausible(nearest, nodes, percent), "pairs")
     links = written(verified(nearest, docs, nodes, width, percent), "verified")
     labelled = cells.drop("sketch").join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     # only clusters whose nodes are in several components can add a link
     several = labelled.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("cluster")
     again = written(labelled.join(several, "cluster", "left_semi"), "open")
     dropped(meet, cells, nearest)
-    more = written(pairs_of(again.join(nodes.select("node", F.col("wide").alias("sketch")), "node"), percent, True), "pairs")
+    more = written(pairs_of(again.join(among(nodes, again).select("node", F.col("wide").alias("sketch")), "node"), percent, True), "pairs")
     dropped(again)
     if not more.isEmpty():
         links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
@@ -423,8 +435,11 @@ def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT
     told = written(ranked.withColumn("stays", stays).filter("NOT stays OR copies > 1").select(F.col("doc_id").alias("id"), "mark", "stays"), "told")
     own = documents.toDF(*[n if n in ("doc_id", "text") else f"_{k}" for k, n in enumerate(names)]).withColumn("hash", F.xxhash64("text"))
     same = own["doc_id"].eqNullSafe(told["id"]) & (own["hash"] == told["mark"])
-    out = own.join(told, same, "left_anti").drop("hash")
+    # rows that the sieve holds back are not told of: only the others are shuffled
+    bits = sieve(told, F.col("mark"))
+    maybe = sifted(own, bits, F.col("hash"))
+    out = sifted(own, bits, F.col("hash"), keep=False).union(maybe.join(told, same, "left_anti"))
     once = told.filter("stays")
     if not once.isEmpty():
-        out = out.union(own.join(once, same, "left_semi").dropDuplicates(["doc_id", "hash"]).drop("hash"))
-    return out.toDF(*names)
+        out = out.union(maybe.join(once, same, "left_semi").dropDuplicates(["doc_id", "hash"]))
+    return out.drop("hash").toDF(*names)
