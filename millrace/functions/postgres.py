@@ -21,7 +21,6 @@ def _add(text: str) -> None:
 
 # strings
 _add(r"""
-concat = concat_ws('', {*})
 concat_op = concat({*})
 char_length = char_length({0})
 character_length = char_length({0})
@@ -44,13 +43,12 @@ rtrim = trim(TRAILING {1} FROM {0})
 chr = decode(unhex(CASE WHEN {0} < 128 THEN lpad(hex({0}), 2, '0') WHEN {0} < 2048 THEN hex((192 | shiftright({0}, 6)) * 256 + (128 | ({0} & 63))) WHEN {0} < 65536 THEN hex((224 | shiftright({0}, 12)) * 65536 + (128 | (shiftright({0}, 6) & 63)) * 256 + (128 | ({0} & 63))) ELSE hex((240 | shiftright({0}, 18)) * 16777216L + (128 | (shiftright({0}, 12) & 63)) * 65536 + (128 | (shiftright({0}, 6) & 63)) * 256 + (128 | ({0} & 63))) END), 'UTF-8')
 initcap = array_join(transform(regexp_extract_all({0}, '([\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+)', 1), x -> concat(upper(substring(x, 1, 1)), lower(substring(x, 2)))), '')
 to_hex = lower(hex({0}))
-regexp_replace = regexp_replace({0}, concat('(?s)^(.*?)(?:', {1}, ')'), concat('$1', {2}))
-regexp_replace = CASE WHEN contains({3}, 'g') THEN regexp_replace({0}, CASE WHEN contains({3}, 'i') THEN concat('(?i)', {1}) ELSE {1} END, {2}) ELSE regexp_replace({0}, concat(CASE WHEN contains({3}, 'i') THEN '(?is)' ELSE '(?s)' END, '^(.*?)(?:', {1}, ')'), concat('$1', {2})) END
 regexp_count = regexp_count({0}, {1})
-regexp_match = CASE WHEN {0} RLIKE {1} THEN CASE WHEN {1} RLIKE '(?<!\\\\)\\((?!\\?)' THEN array(regexp_extract({0}, {1}, 1)) ELSE array(regexp_substr({0}, {1})) END END
+regexp_count = regexp_count(substring({0}, {2}), {1})
+regexp_count = regexp_count(substring({0}, {2}), concat('(?', {3}, ')', {1}))
 regexp_split_to_array = split({0}, {1})
-string_to_array = CASE WHEN {1} IS NULL THEN split({0}, '') WHEN {0} = '' THEN array() ELSE split({0}, concat('\\Q', {1}, '\\E')) END
-string_to_array = transform(CASE WHEN {1} IS NULL THEN split({0}, '') WHEN {0} = '' THEN array() ELSE split({0}, concat('\\Q', {1}, '\\E')) END, x -> nullif(x, {2}))
+string_to_array = CASE WHEN {1} IS NULL THEN split({0}, '') WHEN {0} = '' THEN array() WHEN {1} = '' THEN array({0}) ELSE split({0}, concat('\\Q', {1}, '\\E')) END
+string_to_array = transform(CASE WHEN {1} IS NULL THEN split({0}, '') WHEN {0} = '' THEN array() WHEN {1} = '' THEN array({0}) ELSE split({0}, concat('\\Q', {1}, '\\E')) END, x -> nullif(x, {2}))
 array_to_string = array_join({0}, {1})
 array_to_string = array_join({0}, {1}, {2})
 bool_out = CASE WHEN {0} THEN 't' WHEN NOT {0} THEN 'f' END
@@ -63,16 +61,16 @@ sha224 = unhex(sha2({0}, 224))
 sha256 = unhex(sha2({0}, 256))
 sha384 = unhex(sha2({0}, 384))
 sha512 = unhex(sha2({0}, 512))
-encode = CASE lower({1}) WHEN 'hex' THEN lower(hex({0})) WHEN 'base64' THEN replace(base64({0}), '\r\n', '\n') END
-decode = CASE lower({1}) WHEN 'hex' THEN unhex({0}) WHEN 'base64' THEN unbase64({0}) END
+encode = CASE lower({1}) WHEN 'hex' THEN lower(hex({0})) WHEN 'base64' THEN replace(base64({0}), '\r\n', '\n') WHEN 'escape' THEN encode_escape({0}) END
+decode = CASE lower({1}) WHEN 'hex' THEN unhex({0}) WHEN 'base64' THEN unbase64({0}) WHEN 'escape' THEN decode_escape({0}) END
 convert_from = decode({0}, {1})
 convert_to = encode({0}, {1})
 get_byte = CAST(conv(hex(substring({0}, {1} + 1, 1)), 16, 10) AS INT)
+get_bit = (shiftright(CAST(conv(hex(substring({0}, ({1} div 8) + 1, 1)), 16, 10) AS INT), {1} % 8) & 1)
 bit_count = bit_count({0})
 inet_aton = aggregate(transform(split({0}, '[.]'), x -> CAST(x AS BIGINT)), 0L, (s, x) -> s * 256 + x)
 inet_ntoa = concat_ws('.', shiftright({0}, 24) & 255, shiftright({0}, 16) & 255, shiftright({0}, 8) & 255, {0} & 255)
 secure_compare = ({0} = {1})
-format_type = typeof({0})
 """)
 
 # numbers
@@ -80,6 +78,7 @@ _add(r"""
 div = ({0} div {1})
 mod = ({0} % {1})
 trunc = CASE WHEN {0} < 0 THEN ceil({0}) ELSE floor({0}) END
+trunc = CASE WHEN {0} < 0 THEN ceil({0}, {1}) ELSE floor({0}, {1}) END
 pow = power(CAST({0} AS DOUBLE), CAST({1} AS DOUBLE))
 power = power(CAST({0} AS DOUBLE), CAST({1} AS DOUBLE))
 log = log10({0})
@@ -98,19 +97,18 @@ scale = CASE WHEN contains(CAST({0} AS STRING), '.') THEN char_length(split_part
 min_scale = CASE WHEN contains(CAST({0} AS STRING), '.') THEN char_length(rtrim('0', split_part(CAST({0} AS STRING), '.', 2))) ELSE 0 END
 trim_scale = CASE WHEN contains(CAST({0} AS STRING), '.') THEN rtrim('.', rtrim('0', CAST({0} AS STRING))) ELSE CAST({0} AS STRING) END
 random = rand()
-check_not_null = {0}
+check_not_null = coalesce({0}, raise_error('a column that must not be null is null'))
 """)
 
 # dates and times
 _add(r"""
 date_part = EXTRACT({0} FROM {1})
 make_timestamp = make_timestamp_ntz({*})
+make_time = rtrim('.', rtrim('0', date_format(make_timestamp_ntz(2000, 1, 1, {0}, {1}, {2}), 'HH:mm:ss.SSSSSS')))
 make_timestamptz = make_timestamp_ltz({*})
-make_time = make_interval(0, 0, 0, 0, {0}, {1}, {2})
 to_timestamp = timestamp_seconds({0})
 to_timestamp = to_timestamp({0}, {1:pattern})
 to_date = to_date({0}, {1:pattern})
-to_char = date_format({0}, {1:pattern})
 date_bin = timestamp_micros(unix_micros(CAST({2} AS TIMESTAMP)) + CAST(floor((unix_micros(CAST({1} AS TIMESTAMP)) - unix_micros(CAST({2} AS TIMESTAMP))) / (unix_micros(TIMESTAMP '2000-01-03 00:00:00' + {0}) - unix_micros(TIMESTAMP '2000-01-03 00:00:00'))) AS BIGINT) * (unix_micros(TIMESTAMP '2000-01-03 00:00:00' + {0}) - unix_micros(TIMESTAMP '2000-01-03 00:00:00')))
 tumble_start = window({0}, {1:text}).start
 now = current_timestamp()
@@ -132,7 +130,7 @@ array_positions = transform(filter(transform({0}, (x, i) -> named_struct('x', x,
 array_remove = filter({0}, x -> NOT x <=> {1})
 array_replace = transform({0}, x -> CASE WHEN x <=> {1} THEN {2} ELSE x END)
 array_dims = CASE WHEN size({0}) > 0 THEN concat('[1:', size({0}), ']') END
-array_sum = aggregate({0}, CAST(0 AS DOUBLE), (s, x) -> s + coalesce(x, 0))
+array_sum = aggregate(slice(filter({0}, x -> x IS NOT NULL), 2, greatest(size({0}), 1)), try_element_at(filter({0}, x -> x IS NOT NULL), 1), (s, x) -> s + x)
 array_contains = (size(array_except({1}, {0})) = 0)
 array_contained = (size(array_except({0}, {1})) = 0)
 array_flatten = flatten({0})
@@ -146,7 +144,6 @@ map_contains = map_contains_key({0}, {1})
 map_cat = map_from_entries(concat(filter(map_entries({0}), e -> NOT map_contains_key({1}, e.key)), map_entries({1})))
 map_insert = map_from_entries(concat(filter(map_entries({0}), e -> NOT e.key <=> {1}), array(named_struct('key', {1}, 'value', {2}))))
 map_delete = map_filter({0}, (k, v) -> NOT k <=> {1})
-row = struct({*})
 """)
 
 # JSON, kept as text
@@ -160,19 +157,20 @@ jsonb_object_keys = explode(json_object_keys({0}))
 jsonb_exists = coalesce(array_contains(json_object_keys({0}), {1}), false)
 jsonb_exists_any = coalesce(arrays_overlap(json_object_keys({0}), {1}), false)
 jsonb_exists_all = coalesce(size(array_except({1}, json_object_keys({0}))) = 0, false)
-jsonb_build_array = to_json(array({rest0:variant}))
-jsonb_build_object = to_json(map({pairs:variant}))
 jsonb_object = to_json(map_from_arrays({0}, {1}))
-jsonb_pretty = to_json(parse_json({0}), map('pretty', 'true'))
 jsonb_concat = to_json(map_from_entries(concat(filter(map_entries(from_json({0}, 'map<string,variant>')), e -> NOT map_contains_key(from_json({1}, 'map<string,variant>'), e.key)), map_entries(from_json({1}, 'map<string,variant>')))))
 jsonb_delete = to_json(map_filter(from_json({0}, 'map<string,variant>'), (k, v) -> k <> {1}))
 to_jsonb = to_json(to_variant_object({0}))
 jsonb_array_elements = explode(transform(from_json({0}, 'array<variant>'), v -> to_json(v)))
 jsonb_array_elements_text = explode(transform(from_json({0}, 'array<variant>'), v -> coalesce(try_variant_get(v, '$', 'string'), to_json(v))))
 jsonb_to_array = from_json({0}, 'array<variant>')
-jsonb_path_exists = (try_variant_get(parse_json({0}), {1}, 'variant') IS NOT NULL)
-jsonb_path_query_first = to_json(try_variant_get(parse_json({0}), {1}, 'variant'))
-jsonb_strip_nulls = to_json(map_filter(from_json({0}, 'map<string,variant>'), (k, v) -> NOT is_variant_null(v)))
+jsonb_path_exists = (size(jsonb_path_found({0}, {1})) > 0)
+jsonb_path_match = (try_element_at(jsonb_path_found({0}, {1}), 1) = 'true')
+jsonb_path_query_array = concat('[', array_join(jsonb_path_found({0}, {1}), ','), ']')
+jsonb_path_query_first = try_element_at(jsonb_path_found({0}, {1}), 1)
+jsonb_contained = jsonb_contains({1}, {0})
+encrypt = CASE WHEN contains(lower({2}), 'ecb') THEN aes_encrypt({0}, {1}, 'ECB', 'PKCS') ELSE substring(aes_encrypt({0}, {1}, 'CBC', 'PKCS', unhex(repeat('00', 16))), 17) END
+decrypt = CASE WHEN contains(lower({2}), 'ecb') THEN aes_decrypt({0}, {1}, 'ECB', 'PKCS') ELSE aes_decrypt(concat(unhex(repeat('00', 16)), {0}), {1}, 'CBC', 'PKCS') END
 jsonb_populate_map = map_from_entries(concat(filter(map_entries({0}), e -> NOT map_contains_key(from_json({1}, 'map<string,string>'), e.key)), map_entries(from_json({1}, 'map<string,string>'))))
 """)
 
@@ -193,7 +191,6 @@ _add(r"""
 sum0 = coalesce(sum({0}), 0)
 string_agg = listagg({0}, {1})
 bool_and = bool_and({0})
-jsonb_agg = to_json(collect_list(struct({0}) ))
 jsonb_object_agg = to_json(map_from_entries(collect_list(struct({0}, {1}))))
 arg_min = min_by({0}, {1})
 arg_max = max_by({0}, {1})
@@ -208,8 +205,14 @@ generate_series = explode(CASE WHEN {0} <= {1} THEN sequence({0}, {1}) ELSE arra
 generate_series = explode(CASE WHEN {0} = {1} OR ({0} < {1}) = ({2} > {2} - {2}) THEN sequence({0}, {1}, {2}) ELSE array() END)
 unnest = explode({0})
 generate_subscripts = explode(CASE WHEN size({0}) > 0 THEN sequence(1, size({0})) ELSE array() END)
-regexp_matches = explode(transform(regexp_extract_all({0}, {1}, 0), x -> array(x)))
-_pg_expandarray = posexplode({0})
+generate_subscripts = explode(CASE WHEN {1} = 1 AND size({0}) > 0 THEN sequence(1, size({0})) ELSE array() END)
+generate_subscripts = explode(CASE WHEN {1} = 1 AND size({0}) > 0 THEN CASE WHEN {2} THEN sequence(size({0}), 1) ELSE sequence(1, size({0})) END ELSE array() END)
+range = explode(CASE WHEN {0} < {1} THEN filter(sequence({0}, {1}), x -> x < {1}) ELSE array() END)
+range = explode(CASE WHEN {0} <> {1} AND ({0} < {1}) = ({2} > {2} - {2}) THEN filter(sequence({0}, {1}, {2}), x -> x <> {1}) ELSE array() END)
+jsonb_each = inline(transform(map_entries(from_json({0}, 'map<string,variant>')), e -> named_struct('key', e.key, 'value', to_json(e.value))))
+jsonb_each_text = inline(transform(map_entries(from_json({0}, 'map<string,variant>')), e -> named_struct('key', e.key, 'value', coalesce(try_variant_get(e.value, '$', 'string'), nullif(to_json(e.value), 'null')))))
+jsonb_path_query = explode(jsonb_path_found({0}, {1}))
+_pg_expandarray = inline(transform({0}, (x, i) -> named_struct('x', x, 'n', i + 1)))
 """)
 
 #: PostgreSQL date patterns and Java's, longest first (fixed values)
@@ -231,11 +234,153 @@ def java_pattern(pattern: str) -> str:
 
 
 def _literal(text: str) -> str | None:
-    return text[1:-1].replace("''", "'") if re.fullmatch(r"'(?:[^']|'')*'", text) else None
+    """The value of a string literal of translated SQL, else None."""
+    if not re.fullmatch(r"(?s)'(?:[^'\\]|\\.|'')*'", text):
+        return None
+    return re.sub(r"(?s)\\(.)", r"\1", text[1:-1].replace("''", "'"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+#: marks an expression whose text is JSON already, so that builders take it as it is
+JSON = "/*jsonb*/"
+#: calls that give JSON text
+JSON_CALLS = {"jsonb_build_array", "jsonb_build_object", "jsonb_agg", "jsonb_object_agg", "jsonb_concat", "jsonb_delete", "to_jsonb", "jsonb_extract_path", "jsonb_object", "jsonb_strip_nulls", "jsonb_set", "jsonb_delete_path", "jsonb_path_query_first", "jsonb_path_query_array", "jsonb_array_elements"}
+
+
+def json_value(value: str) -> str:
+    """The JSON text of a value, 'null' of null."""
+    if value.lstrip("(").startswith(JSON):
+        return f"coalesce({value}, 'null')"
+    whole = f"to_json(named_struct('v', {value}), map('ignoreNullFields', 'false'))"
+    return f"substring({whole}, 6, char_length({whole}) - 6)"
+
+
+def groups_of(pattern: str) -> int:
+    """The number of capturing groups of a regular expression."""
+    plain = re.sub(r"\\.|\[(?:\\.|[^\]])*\]", "", pattern)
+    return len(re.findall(r"\((?!\?)|\(\?P?<(?![=!])", plain))
+
+
+def _flags(args: list[str], at: int) -> str:
+    """Letters of a literal flags argument."""
+    found = _literal(args[at]) if len(args) > at else ""
+    if found is None:
+        raise ValueError("flags of a regular expression must be a literal")
+    return found
+
+
+def _pattern(text: str, flags: str) -> str:
+    kept = "".join(c for c in flags if c in "imsx")
+    return f"concat('(?{kept})', {text})" if kept else text
+
+
+def regexp_match(args: list[str]) -> str:
+    """The groups of the first match, or the match itself if there are none; null without a match."""
+    pattern, literal = _pattern(args[1], _flags(args, 2)), _literal(args[1])
+    n = groups_of(literal) if literal is not None else 0
+    picked = [f"regexp_extract({args[0]}, {pattern}, {k})" for k in range(1, n + 1)] or [f"regexp_substr({args[0]}, {pattern})"]
+    return f"CASE WHEN {args[0]} RLIKE {pattern} THEN array({', '.join(picked)}) END"
+
+
+def regexp_matches(args: list[str]) -> str:
+    """Likewise as rows: one for the first match, with flag g one for each."""
+    flags = _flags(args, 2)
+    pattern, literal = _pattern(args[1], flags), _literal(args[1])
+    n = groups_of(literal) if literal is not None else 0
+    found = f"regexp_extract_all({args[0]}, {pattern}, 0)"
+    if n:
+        parts = ", ".join(f"regexp_extract_all({args[0]}, {pattern}, {k})" for k in range(1, n + 1))
+        rows = f"transform(arrays_zip({parts}), z -> array({', '.join(f'z.`{k}`' for k in range(n))}))"
+    else:
+        rows = f"transform({found}, x -> array(x))"
+    return f"explode({rows if 'g' in flags else f'slice({rows}, 1, 1)'})"
+
+
+def regexp_replace(args: list[str]) -> str:
+    r"""\1 to \9 and \& stand for groups and the match; without flag g the first match only is replaced, as it takes the rest with it."""
+    flags, literal = _flags(args, 3), _literal(args[2])
+    shift = 1 if literal is not None and r"\&" in literal and "g" not in flags else 0  # the match is a group of its own
+    if literal is None:
+        fresh = f"regexp_replace(replace({args[2]}, '$', '\\\\$'), '\\\\\\\\([1-9])', '\\\\$$1')"
+    else:
+        fresh = _quoted(re.sub(r"\\([1-9&])|[$]|\\\\", lambda m: f"${shift if m[1] == '&' else int(m[1]) + shift}" if m[1] else "\\" + m[0][0], literal))
+    pattern = _pattern(args[1], flags)
+    if "g" in flags:
+        return f"regexp_replace({args[0]}, {pattern}, {fresh})"
+    return f"regexp_replace({args[0]}, concat('({'' if shift else '?:'}', {pattern}, ')(?<rest>[\\\\s\\\\S]*)\\\\z'), concat({fresh}, '$', '{{rest}}'))"  # in one literal it would be a variable of Spark's
+
+
+def format_text(args: list[str]) -> str:
+    """format(): %s, %I and %L take the arguments in turn, or n$ by number."""
+    text = _literal(args[0])
+    if text is None:
+        raise ValueError("the text of format() must be a literal")
+    parts, at, turn = [], 0, 0
+    for m in re.finditer(r"%(?:(\d+)\$)?([sIL%])", text):
+        parts.append(_quoted(text[at : m.start()]))
+        at = m.end()
+        if m[2] == "%":
+            parts.append("'%'")
+            continue
+        turn = int(m[1]) if m[1] else turn + 1
+        value = f"CAST({args[turn]} AS STRING)"
+        parts.append(f"coalesce({value}, '')" if m[2] == "s" else call("quote_ident" if m[2] == "I" else "quote_nullable", [value]))
+    parts.append(_quoted(text[at:]))
+    return f"concat({', '.join(parts)})"
+
+
+def json_list(args: list[str]) -> str:
+    if len(args) == 1 and args[0].upper().startswith("VARIADIC "):
+        return f"{JSON}to_json({args[0][9:]}, map('ignoreNullFields', 'false'))"
+    return f"{JSON}concat('[', concat_ws(',', {', '.join(map(json_value, args))}), ']')" if args else f"{JSON}'[]'"
+
+
+def json_object(args: list[str]) -> str:
+    if len(args) == 1 and args[0].upper().startswith("VARIADIC "):
+        a = args[0][9:]
+        return f"{JSON}to_json(map_from_entries(transform(sequence(0, size({a}) div 2 - 1), i -> struct(element_at({a}, 2 * i + 1), element_at({a}, 2 * i + 2)))), map('ignoreNullFields', 'false'))"
+    if len(args) % 2:
+        raise ValueError("jsonb_build_object takes keys and values in turn")
+    pairs = [f"concat({json_value(f'CAST({k} AS STRING)')}, ':', {json_value(v)})" for k, v in zip(args[::2], args[1::2])]
+    return f"{JSON}concat('{{', concat_ws(',', {', '.join(pairs)}), '}}')" if args else f"{JSON}'{{}}'"
+
+
+def to_char(args: list[str]) -> str:
+    text = _literal(args[1])
+    if text is None:
+        raise ValueError("a pattern of to_char must be a literal")
+    if re.fullmatch(r"[09.,DGSLFMIPR$ ]*[09][09.,DGSLFMIPR$ ]*", text):
+        whole, _, rest = text.replace("FM", "").replace("D", ".").partition(".")
+        scale = sum(c in "09" for c in rest)
+        value, pattern = f"round(CAST({args[0]} AS DECIMAL(38, {scale})), {scale})", _quoted(whole + ("." + rest if rest else ""))
+        if re.search("[SPLM]", whole + rest):
+            return f"to_char({value}, {pattern})"
+        digits = f"trim(to_char(abs({value}), {pattern}))"
+        if not rest:  # of a zero one digit is shown
+            digits = f"CASE WHEN {value} = 0 THEN coalesce(nullif({digits}, ''), '0') ELSE {digits} END"
+        shown = f"concat(CASE WHEN {args[0]} < 0 THEN '-' ELSE '' END, {digits})"
+        return shown if "FM" in text else f"lpad({shown}, {len(pattern) - 1}, ' ')"
+    return f"date_format({args[0]}, {_quoted(java_pattern(text))})"
+
+
+def concat(args: list[str]) -> str:
+    if len(args) == 1 and args[0].upper().startswith("VARIADIC "):
+        return f"array_join({args[0][9:]}, '')"
+    return f"concat_ws('', {', '.join(args)})"
+
+
+#: calls whose expression depends on their literals
+BUILDERS = {"regexp_match": regexp_match, "regexp_matches": regexp_matches, "regexp_replace": regexp_replace, "format": format_text, "jsonb_build_array": json_list, "jsonb_build_object": json_object, "to_char": to_char, "concat": concat}
 
 
 def call(name: str, args: list[str]) -> str | None:
     """The Spark expression of a call, or None if the name means the same in Spark."""
+    if name.lower() in BUILDERS:
+        return BUILDERS[name.lower()](args)
+    args = [re.sub(r"(?i)^VARIADIC ", "", a) for a in args]
     templates = CALLS.get(name.lower())
     if not templates:
         return None
@@ -243,7 +388,7 @@ def call(name: str, args: list[str]) -> str | None:
     for t in templates:
         used = [int(x) for x in re.findall(r"\{(\d+)", t)]
         need = max(used, default=-1) + 1
-        if "{*}" in t or "{rest" in t or "{pairs" in t or need == len(args):
+        if "{*}" in t or "{rest" in t or need == len(args):
             best = t
             break
     if best is None:
@@ -255,10 +400,6 @@ def call(name: str, args: list[str]) -> str | None:
             return ", ".join(args)
         if key == "rest":
             return ", ".join(f"CASE WHEN {a} RLIKE '^[0-9]+$' THEN concat('[', {a}, ']') ELSE concat('.', {a}) END" for a in args[1:])
-        if key == "rest0":
-            return ", ".join(f"parse_json(to_json(array({a})))::variant" if False else f"to_variant_object(array({a}))" for a in args)
-        if key == "pairs":
-            return ", ".join(a if k % 2 == 0 else f"to_variant_object(array({a}))" for k, a in enumerate(args))
         value = args[int(key)]
         if how == "pattern":
             text = _literal(value)
@@ -270,4 +411,5 @@ def call(name: str, args: list[str]) -> str | None:
             return value if not m2 else (m2[1] if not m2[2] else f"{m2[1][:-1]} {m2[2].lower()}'")
         return value
 
-    return re.sub(r"\{([\w*]+(?::\w+)?)\}", fill, best.replace("{{", "\x01").replace("}}", "\x02")).replace("\x01", "{").replace("\x02", "}")
+    done = re.sub(r"\{([\w*]+(?::\w+)?)\}", fill, best.replace("{{", "\x01").replace("}}", "\x02")).replace("\x01", "{").replace("\x02", "}")
+    return JSON + done if name.lower() in JSON_CALLS and not done.startswith("explode") else done

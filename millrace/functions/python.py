@@ -9,6 +9,8 @@ import hashlib
 import hmac as _hmac
 import json
 import math
+import operator
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -21,7 +23,10 @@ def _each(f: Callable, kind: str) -> Callable:
     """A scalar Python function over columns as a pandas UDF; a null argument gives null."""
 
     def run(*columns: pd.Series) -> pd.Series:
-        return pd.Series([None if any(v is None or v is pd.NA or isinstance(v, float) and math.isnan(v) for v in row) else f(*row) for row in zip(*columns)], dtype=object)
+        # Arrow gives a null number as NaN; in a column of objects NaN is a value
+        nulls = [c.isna() if c.dtype == object else pd.Series(False, c.index) if c.dtype.kind != "f" else c.isna() for c in columns]
+        gone = pd.concat(nulls, axis=1).any(axis=1)
+        return pd.Series([None if n else f(*row) for n, row in zip(gone, zip(*columns))], dtype=object)
 
     wrapped = {1: lambda a: run(a), 2: lambda a, b: run(a, b), 3: lambda a, b, c: run(a, b, c)}[f.__code__.co_argcount]
     wrapped.__annotations__ = {**{n: pd.Series for n in wrapped.__code__.co_varnames[: f.__code__.co_argcount]}, "return": pd.Series}
@@ -77,8 +82,77 @@ def jsonb_delete_path(text: str, path: list) -> str:
     return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
 
 
-def get_bit(data: bytes, n: int) -> int:
-    return data[int(n) // 8] >> int(n) % 8 & 1
+def strip_nulls(value):
+    if isinstance(value, dict):
+        return {k: strip_nulls(v) for k, v in value.items() if v is not None}
+    return [strip_nulls(v) for v in value] if isinstance(value, list) else value
+
+
+def jsonb_strip_nulls(text: str) -> str:
+    return json.dumps(strip_nulls(json.loads(text)), separators=(",", ":"), ensure_ascii=False)
+
+
+def jsonb_pretty(text: str) -> str:
+    return json.dumps(json.loads(text), indent=4, ensure_ascii=False)
+
+
+STEP = re.compile(r"""\.\*|\.(?P<name>\w+)|\."(?P<quoted>[^"]*)"|\[\*\]|\[(?P<index>-?\d+)\]|\s*\?\s*\((?P<filter>[^()]*)\)""")
+COMPARED = {"==": operator.eq, "!=": operator.ne, "<>": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+
+
+def passes(item, condition: str) -> bool:
+    """A filter: comparisons of @... with a constant, joined by && or ||."""
+    for sign, many in (("||", any), ("&&", all)):
+        if sign in condition:
+            return many(passes(item, part) for part in condition.split(sign))
+    m = re.fullmatch(r"\s*@(.*?)\s*(==|!=|<>|<=|>=|<|>)\s*(.+?)\s*", condition)
+    if not m:
+        raise ValueError(f"unknown filter {condition}")
+    want = json.loads(m[3])
+    try:
+        return any(COMPARED[m[2]](x, want) for x in walked([item], m[1]) if type(x) is type(want) or {type(x), type(want)} == {int, float})
+    except TypeError:
+        return False
+
+
+def walked(items: list, path: str) -> list:
+    """What a path leads to from the items; lax, as arrays are entered where a member is asked for."""
+    at = 0
+    while at < len(path):
+        m = STEP.match(path, at)
+        if not m:
+            raise ValueError(f"unknown path {path[at:]!r}")
+        at = m.end()
+        key = m["name"] if m["name"] is not None else m["quoted"]
+        if m["filter"] is not None:
+            items = [y for x in items for y in (x if isinstance(x, list) else [x]) if passes(y, m["filter"])]
+        elif key is not None:
+            items = [y[key] for x in items for y in (x if isinstance(x, list) else [x]) if isinstance(y, dict) and key in y]
+        elif m["index"] is not None:
+            items = [x[int(m["index"])] for x in items if isinstance(x, list) and -len(x) <= int(m["index"]) < len(x)]
+        elif m[0] == "[*]":
+            items = [y for x in items for y in (x if isinstance(x, list) else [x])]
+        else:
+            items = [y for x in items if isinstance(x, dict) for y in x.values()]
+    return items
+
+
+def jsonb_path_found(text: str, path: str) -> list[str]:
+    """JSON texts of all that a path finds; a path of the form 'path op constant' finds whether some item passes."""
+    body = re.sub(r"^\s*(?:lax|strict)\s+", "", path).strip()
+    if re.fullmatch(r"\$[^?]*?\s*(==|!=|<>|<=|>=|<|>)\s*[^()]+", body):
+        found: list = [passes(json.loads(text), "@" + body[1:])]
+    else:
+        found = walked([json.loads(text)], body[1:])
+    return [json.dumps(x, separators=(",", ":"), ensure_ascii=False) for x in found]
+
+
+def encode_escape(data: bytes) -> str:
+    return "".join("\\\\" if b == 92 else chr(b) if 0 < b < 128 else f"\\{b:03o}" for b in data)
+
+
+def decode_escape(text: str) -> bytes:
+    return re.sub(rb"\\(\\|[0-3][0-7]{2})", lambda m: b"\\" if m[1] == b"\\" else bytes([int(m[1], 8)]), text.encode())
 
 
 def set_bit(data: bytes, n: int, bit: int) -> bytes:
@@ -104,7 +178,8 @@ def lgamma(x: float) -> float:
 #: name -> function and Spark type of its result
 FUNCTIONS: dict[str, tuple[Callable, str]] = {
     "to_ascii": (to_ascii, "string"), "hmac": (hmac, "binary"), "jsonb_contains": (jsonb_contains, "boolean"), "jsonb_set": (jsonb_set, "string"), "jsonb_delete_path": (jsonb_delete_path, "string"),
-    "get_bit": (get_bit, "int"), "set_bit": (set_bit, "binary"), "set_byte": (set_byte, "binary"), "gamma": (gamma, "double"), "lgamma": (lgamma, "double"),
+    "jsonb_strip_nulls": (jsonb_strip_nulls, "string"), "jsonb_pretty": (jsonb_pretty, "string"), "jsonb_path_found": (jsonb_path_found, "array<string>"), "encode_escape": (encode_escape, "string"), "decode_escape": (decode_escape, "binary"),
+    "set_bit": (set_bit, "binary"), "set_byte": (set_byte, "binary"), "gamma": (gamma, "double"), "lgamma": (lgamma, "double"),
 }
 
 

@@ -50,8 +50,11 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], inequality: tupl
 def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float, how: str = "inner") -> DataFrame:
     """Points within [low, high) of ranges, by equi join on bins of the given width: each range is in every bin it touches.
 
-    Choose the width near the usual length of a range; a range much longer is in many bins.
+    Choose the width near the usual length of a range; a range much longer is in many bins. how is inner or left: a
+    range without points would show up once for each of its bins.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("a range join is inner or left")
     bin_of = lambda c: F.floor(F.col(c).cast("double") / F.lit(float(width)))
     spread = ranges.withColumn("__bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
     inside = (F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))

@@ -26,7 +26,7 @@ register_sql("boolean_logic", "SELECT c_custkey, (c_nationkey > 5 AND NULL) IS N
 register_sql("events_json_by_type", "SELECT event_type, (props->>'k')::int % 10 AS bucket, count(*) AS n, round(avg(value), 6) AS v FROM events GROUP BY event_type, (props->>'k')::int % 10")
 register_sql("events_last_row_by_key", "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) t WHERE r <= 1")
 register_sql("events_top_ten_by_user", "SELECT user_id, event_id, r FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS r FROM events) t WHERE r <= 10")
-register_sql("events_active_users", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= (SELECT count(*) / count(DISTINCT user_id) FROM events)", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= (SELECT count(*)::double / count(DISTINCT user_id) FROM events)")
+register_sql("events_active_users", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= (SELECT count(*) / count(DISTINCT user_id) FROM events)", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= (SELECT count(*) // count(DISTINCT user_id) FROM events)")
 register_sql("events_window_max", "SELECT e.event_id, EXTRACT(epoch FROM m.window_end)::bigint AS w FROM TUMBLE(events, ts, INTERVAL '1 hour') e JOIN (SELECT max(value) AS top, window_end FROM TUMBLE(events, ts, INTERVAL '1 hour') GROUP BY window_end) m ON e.value = m.top AND e.window_end = m.window_end", "SELECT event_id, epoch(w)::bigint + 3600 AS w FROM (SELECT event_id, value, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS w, max(value) OVER (PARTITION BY time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01')) AS top FROM events) WHERE value = top")
 register_sql("documents_by_language", "SELECT lang, count(*) AS n, sum(n_chars)::bigint AS chars, max(length(text))::int AS longest FROM documents GROUP BY lang")
 register_sql("benchmark_and_conversations", "SELECT role, count(*) AS n, count(DISTINCT conv_id) AS talks, max(turn) AS turns FROM conversations GROUP BY role")

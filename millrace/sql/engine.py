@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -10,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import python
+from millrace.operators.joins import asof_join
+from millrace.operators.time import gap_fill
 from millrace.sources.tables import Table
-from millrace.sql.dialect import Translator, expression, query
+from millrace.sql.dialect import Known, Translator, expression, knowing, query
 
 _STATEMENTS: list[tuple[re.Pattern, str]] = []
 
@@ -24,6 +28,11 @@ def statement(pattern: str) -> Callable:
     return add
 
 
+ASOF = re.compile(
+    r"""(?is)^\s*select\s+(?P<items>.*?)\s+from\s+(?P<left>[\w.]+)(?:\s+(?:as\s+)?(?P<a>(?!asof\b)\w+))?\s+asof\s+(?P<how>left\s+(?:outer\s+)?)?(?:inner\s+)?join\s+
+    (?P<right>[\w.]+)(?:\s+(?:as\s+)?(?P<b>(?!on\b)\w+))?\s+on\s+(?P<on>.*?)(?P<rest>\b(?:where|group\s+by|order\s+by|limit)\b.*)?;?\s*$""",
+    re.X,
+)
 NAME = r'(?:if\s+(?:not\s+)?exists\s+)?(?P<name>"?[\w.]+"?)'
 
 
@@ -39,14 +48,118 @@ class Engine:
     variables: dict[str, str] = field(default_factory=dict)
     comments: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        python.install(self.spark)
+
     def sql(self, text: str) -> DataFrame:
         """The result of one statement; commands give one row that says what was done."""
+        with knowing(Known(self._integers(text), relations={"gap_fill": self._gap_fill})):
+            return self._sql(text)
+
+    def _sql(self, text: str) -> DataFrame:
         for pattern, name in _STATEMENTS:
             if m := pattern.match(text):
                 done = getattr(self, name)(m)
                 return done if isinstance(done, DataFrame) else self._said(done or name.upper())
+        if m := re.match(r"(?is)^(?P<body>.*)\bemit\s+on\s+window\s+close\s*;?\s*$", text):
+            return self._closed(m["body"])
+        text = self._changelogs(text)
+        if m := ASOF.match(text):
+            return self._asof(m)
         return self.spark.sql(query(text))
 
+    def _integers(self, text: str) -> set[str]:
+        """Names of the integer columns of the relations that a statement names, where no other of them has the name."""
+        own, others = set(), set()
+        # types matter to divisions only
+        for name in set(re.findall(r"[A-Za-z_]\w*", text)) if "/" in text else ():
+            if self.spark.catalog.tableExists(name):
+                for f in self.spark.table(name).schema.fields:
+                    (own if isinstance(f.dataType, T.IntegralType) else others).add(f.name.lower())
+        return own - others
+
+    def _view(self, frame: DataFrame) -> str:
+        name = f"millrace_{uuid.uuid4().hex}"
+        frame.createOrReplaceTempView(name)
+        return name
+
+    def _gap_fill(self, args: list[str]) -> str:
+        """GAP_FILL(table, time column, interval, LOCF(c), INTERPOLATE(c), KEEPNULL(c), PARTITION BY is by the fills' absence)."""
+        source, time, step, *rest = args
+        fills = {}
+        for how in rest:
+            m = re.fullmatch(r"(?i)(locf|interpolate|keepnull)\(`?(\w+)`?\)", how.strip())
+            if not m:
+                raise ValueError(f"unknown fill {how}")
+            fills[m[2]] = m[1].lower()
+        frame = self.spark.table(source.strip("`")) if not source.startswith("(") else self.spark.sql(source[1:-1])
+        return self._view(gap_fill(frame, time.strip("`"), re.sub(r"(?i)^INTERVAL\s*'(.*?)'\s*(\w*)$", r"\1 \2", step).strip(), fills))
+
+    def _changelogs(self, text: str) -> str:
+        """WITH x AS changelog FROM t: x has the table's changes, with changelog_op and _changelog_row_id."""
+
+        def named(m: re.Match) -> str:
+            changes = self.tables[m["table"].rpartition(".")[2]].changes()
+            ids = F.monotonically_increasing_id() + F.col("version").cast("long") * F.lit(1 << 40)
+            view = self._view(changes.withColumns({"_changelog_row_id": ids, "changelog_op": F.col("op")}).drop("op", "version"))
+            return f"{m['name']} AS (SELECT * FROM {view})"
+
+        return re.sub(r"(?i)\b(?P<name>\w+)\s+as\s+changelog\s+from\s+(?P<table>[\w.]+)", named, text)
+
+    def _closed(self, body: str) -> DataFrame:
+        """EMIT ON WINDOW CLOSE: what the watermark of the source table has passed."""
+        marked = [t for t in self.tables.values() if t.watermark and re.search(rf"(?i)\b{t.name}\b", body)]
+        if len(marked) != 1:
+            raise ValueError("EMIT ON WINDOW CLOSE needs one source table with a watermark")
+        column, late = marked[0].watermark
+        column = column.strip("`")
+        passed = f"(SELECT max({late}) FROM {marked[0].name})"
+        if re.search(r"(?i)\bgap_fill\s*\(", body):
+            view = self._view(self.spark.sql(f"SELECT * FROM {marked[0].name} WHERE `{column}` <= {passed}"))
+            return self._sql(re.sub(rf"(?i)\b{marked[0].name}\b", view, body))
+        out = self._sql(body)
+        if "window_end" in out.columns:
+            return self.spark.sql(f"SELECT * FROM {self._view(out)} WHERE window_end <= {passed}")
+        size = re.search(rf"(?is)\b(tumble|hop)\s*\(.*?(interval\s+'[^']*'(?:\s+\w+)?)\s*\)", body)
+        if "window_start" in out.columns and size:
+            return self.spark.sql(f"SELECT * FROM {self._view(out)} WHERE window_start + {expression(size[2])} <= {passed}")
+        if column in out.columns:  # rows in order of time, as far as it is settled
+            return self.spark.sql(f"SELECT * FROM {self._view(out)} WHERE `{column}` <= {passed}")
+        raise NotImplementedError("EMIT ON WINDOW CLOSE needs window_end, window_start or the watermark column in the result")
+
+    def _asof(self, m: re.Match) -> DataFrame:
+        """ASOF [LEFT] JOIN, planned by the operator; afterwards each side is a struct under its alias."""
+        sides = []
+        for text, alias in ((m["left"], m["a"]), (m["right"], m["b"])):
+            frame = self._sql(f"SELECT * FROM {text}")
+            sides.append((alias or text, frame))
+        (a, left), (b, right) = sides
+        pairs, inequality = [], None
+        for part in re.split(r"(?i)\s+and\s+", m["on"].strip()):
+            side = re.fullmatch(r"\(?\s*(?:(\w+)\.)?(\w+)\s*(=|<=|>=|<|>)\s*(?:(\w+)\.)?(\w+)\s*\)?", part.strip())
+            if not side:
+                raise ValueError(f"an as-of condition compares two columns: {part}")
+            p, x, sign, q, y = side.groups()
+            if p == b or q == a or (p is None and x not in left.columns):
+                x, y, sign = y, x, {"<": ">", ">": "<", "<=": ">=", ">=": "<="}.get(sign, sign)
+            if sign == "=":
+                pairs.append((x, y))
+            elif inequality:
+                raise ValueError("an as-of join has exactly one inequality")
+            else:
+                inequality = x, sign, y
+        if not inequality or not pairs:
+            raise ValueError("an as-of join has at least one equality and exactly one inequality")
+        keys = [f"key_{k}" for k in range(len(pairs))]
+        own = left.select(*[F.col(x).alias(k) for k, (x, _) in zip(keys, pairs)], F.col(inequality[0]).alias("at_a"), F.struct(*left.columns).alias(a))
+        other = right.select(*[F.col(y).alias(k) for k, (_, y) in zip(keys, pairs)], F.col(inequality[2]).alias("at_b"), F.struct(*right.columns).alias(b))
+        joined = asof_join(own, other, keys, ("at_a", inequality[1], "at_b"), "left" if m["how"] else "inner", ["at_b"])
+        common = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
+        flat = [F.col(f"`{side}`.`{c}`").alias(c) for side, frame in sides for c in frame.columns if c.lower() not in common]
+        view = self._view(joined.select(a, b, *flat))
+        items = re.sub(r"^\s*\*\s*$", f"{a}.*, {b}.*", m["items"])
+        return self._sql(f"SELECT {items} FROM {view} {m['rest']}")
+
     def script(self, text: str) -> list[DataFrame]:
         parts, held, quote = [], "", None
         for c in text:
@@ -65,7 +178,13 @@ class Engine:
         return self.spark.createDataFrame([(what,)], "result string")
 
     def _show(self, name: str) -> None:
+        """The table's new version, and the views over it planned anew: they are answered from what the tables hold."""
         self.tables[name].read().createOrReplaceTempView(name)
+        touched = {name}
+        for view, body in {**self.views, **self.materialized}.items():
+            if touched & set(re.findall(r"\w+", body)):
+                self.sql(body).createOrReplaceTempView(view)
+                touched.add(view)
 
     # tables
 
@@ -174,7 +293,7 @@ class Engine:
 
     @statement(r"create\s+materialized\s+view\s+" + NAME + r"\s+as\s+(?P<body>.*)")
     def create_materialized_view(self, m: re.Match) -> str:
-        """In batch a materialized view is its query, answered anew; on streams see ``streaming.views``."""
+        """A materialized view always answers from the current tables; it is planned anew when one of them changes. On streams see ``streaming.views``."""
         self.materialized[m["name"]] = m["body"]
         self.sql(m["body"]).createOrReplaceTempView(m["name"])
         return "CREATE MATERIALIZED VIEW"
@@ -329,7 +448,11 @@ class Engine:
         self.prepared.clear() if m["name"].lower() == "all" else self.prepared.pop(m["name"])
         return "DEALLOCATE"
 
-    @statement(r"(?P<what>flush|wait|begin|start\s+transaction|commit|rollback|vacuum.*|discard\s+all|recover)")
+    @statement(r"(?P<what>rollback|abort)(?:\s+(?:work|transaction))?")
+    def rollback(self, m: re.Match) -> None:
+        raise NotImplementedError("statements take effect one by one: there is nothing to roll back to")
+
+    @statement(r"(?P<what>flush|wait|begin|start\s+transaction|commit|vacuum.*|discard\s+all|recover)")
     def nothing(self, m: re.Match) -> str:
         """Every statement is complete when it returns, so there is nothing to wait for."""
         return " ".join(m["what"].upper().split())

@@ -50,5 +50,5 @@ def test_more_queries_than_ten_thousand(spark):
 def test_every_row_is_a_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet")
-    got = QUERIES["vector_lookup_join_whole"](spark, sf)
+    got = QUERIES["vector_lookup_join"](spark, sf)
     assert got.select("query_id").distinct().count() == rows.select("vec_id").distinct().count() > 100
