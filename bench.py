@@ -7,7 +7,7 @@ import time
 from millrace.plans import QUERIES
 from millrace.session import bench_cpus, local_session
 
-HEADLINES = ["tpch_q1", "tpch_q3", "tpch_q5", "tpch_q6", "tpch_q10", "tpch_q13", "tpch_q17", "tpch_q18", "asof_join", "interval_join", "group_top_n", "cube_operator", "window_frames", "tumble", "hop", "sessions", "gap_fill_locf", "string_functions", "aggregate_functions"]
+HEADLINES = ["tpch_q1", "tpch_q3", "tpch_q5", "tpch_q6", "tpch_q10", "tpch_q13", "tpch_q17", "tpch_q18", "asof_join", "interval_join", "group_top_n", "cube_operator", "window_frames", "tumble", "hop", "sessions", "gap_fill_locf", "string_functions", "aggregate_functions", "asof_join_sql", "table_changes", "materialized_view", "stream_upserted_counts"]
 
 
 def main() -> None:

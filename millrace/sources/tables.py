@@ -1,12 +1,14 @@
 """Tables with keys, defaults, generated columns and conflict policies, kept as versions of parquet files.
 
-Each change writes a new version by plain DataFrame plans (anti join, union, window) and then moves a pointer, so readers
-see whole versions and a failed write leaves the old one. A table may also keep its changes as rows with an operation
+Each change writes a new version by plain DataFrame plans (anti join, union, window) and then marks it as complete in the
+table's folder, so readers see whole versions, a failed write leaves the old one, and a restarted driver opens the table
+where it was. The mark also has the stream batches that went into the version. A table may also keep its changes as rows with an operation
 and the version, in order: that is what changelogs and subscriptions read.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -40,6 +42,8 @@ class Table:
     keep_changes: bool = False
     path: str = ""
     version: int = 0
+    #: checkpoint of a stream -> number of its last batch that is in this version
+    batches: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.on_conflict not in CONFLICTS:
@@ -48,6 +52,39 @@ class Table:
         if not self.version:
             self._write(self.spark.createDataFrame([], self.schema), [])
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "Table":
+        """The table that an earlier driver left at a path, in its last complete version."""
+        base = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
+        files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+        last = max(int(f.getPath().getName().partition(".")[0]) for f in files.listStatus(base))
+        stream = files.open(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{last}.json"))
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        told = json.loads(text)
+        told["schema"] = T.StructType.fromJson(told["schema"])
+        told["watermark"] = tuple(told["watermark"]) if told["watermark"] else None
+        return cls(spark, path=path, version=last, **told)
+
+    def _mark(self, number: int) -> None:
+        """The one small file that makes a version count; it is written after the rows."""
+        told = {n: getattr(self, n) for n in ("name", "key", "append_only", "on_conflict", "version_column", "defaults", "generated", "watermark", "keep_changes", "batches")}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/{number}.json")
+        out = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(json.dumps({**told, "schema": self.schema.jsonValue()}).encode()))
+        finally:
+            out.close()
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Deletes all but the last versions; who reads an older one has to be done with it."""
+        base = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for old in range(1, self.version - keep + 1):
+            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{old}"), True)
+
     def read(self, version: int | None = None) -> DataFrame:
         """The table as it is, or as it was at a version."""
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{self.version if version is None else version}")
@@ -58,6 +95,7 @@ class Table:
         if self.keep_changes:
             for k, change in enumerate(changes):
                 change.withColumn("version", F.lit(number)).write.mode("overwrite").parquet(f"{self.path}/changes/version={number}/part={k}")
+        self._mark(number)
         self.version = number
 
     def complete(self, rows: DataFrame) -> DataFrame:

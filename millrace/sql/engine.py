@@ -448,11 +448,18 @@ class Engine:
         self.prepared.clear() if m["name"].lower() == "all" else self.prepared.pop(m["name"])
         return "DEALLOCATE"
 
+    @statement(r"vacuum(?:\s+full)?(?:\s+(?P<name>\w+))?")
+    def vacuum(self, m: re.Match) -> str:
+        for name, table in self.tables.items():
+            if m["name"] in (None, name):
+                table.vacuum()
+        return "VACUUM"
+
     @statement(r"(?P<what>rollback|abort)(?:\s+(?:work|transaction))?")
     def rollback(self, m: re.Match) -> None:
         raise NotImplementedError("statements take effect one by one: there is nothing to roll back to")
 
-    @statement(r"(?P<what>flush|wait|begin|start\s+transaction|commit|vacuum.*|discard\s+all|recover)")
+    @statement(r"(?P<what>flush|wait|begin|start\s+transaction|commit|discard\s+all|recover)")
     def nothing(self, m: re.Match) -> str:
         """Every statement is complete when it returns, so there is nothing to wait for."""
         return " ".join(m["what"].upper().split())

@@ -42,15 +42,22 @@ def append_only_dedup(df: DataFrame, keys: list[str], within_watermark: bool = T
 
 
 class View:
+    """A table kept by the batches of a stream; the table remembers the last of them, so a replayed one changes nothing, whichever driver replays it."""
+
     def __init__(self, table: Table) -> None:
         self.table = table
-        self.done = -1
 
-    def _each(self, merge: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    def _each(self, merge: Callable[[DataFrame], None], stream: str = "") -> Callable[[DataFrame, int], None]:
         def run(batch: DataFrame, number: int) -> None:
-            if number > self.done:  # a batch that is replayed after a failure has been merged already
+            if number <= self.table.batches.get(stream, -1):
+                return
+            before = self.table.batches
+            self.table.batches = {**before, stream: number}  # becomes part of the version that the merge writes
+            try:
                 merge(batch)
-                self.done = number
+            except BaseException:
+                self.table.batches = before
+                raise
 
         return run
 
@@ -65,7 +72,10 @@ class View:
         """For any query that treats its keys one by one: rows go into the base table, and the keys they touch are answered anew."""
 
         def merge(batch: DataFrame) -> None:
-            base.insert(batch)
+            number = self.table.batches[checkpoint]
+            if number > base.batches.get(checkpoint, -1):  # base is written first, so it may have the batch already
+                base.batches = {**base.batches, checkpoint: number}
+                base.insert(batch)
             touched = batch.select(*keys).distinct()
             fresh = query(base.read().join(touched, keys, "left_semi"))
             rest = self.table.read().join(touched, keys, "left_anti")
@@ -74,7 +84,7 @@ class View:
         return self._start(df, "append", merge, checkpoint, once)
 
     def _start(self, df: DataFrame, mode: str, merge: Callable[[DataFrame], None], checkpoint: str, once: bool) -> StreamingQuery:
-        writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(self._each(merge))
+        writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(self._each(merge, checkpoint))
         return (writer.trigger(availableNow=True) if once else writer).start()
 
 

@@ -74,3 +74,27 @@ def test_views_follow_their_tables(engine):
     assert engine.sql(f"SELECT m FROM {t}_m").first().m == 5
     with pytest.raises(ValueError, match="watermark"):
         engine.sql("SELECT 1 AS x EMIT ON WINDOW CLOSE")
+
+
+def test_tables_outlive_their_driver(spark, tmp_path):
+    from millrace.sources.tables import Table
+    from millrace.streaming.views import View
+
+    schema = spark.createDataFrame([], "k int, n int").schema
+    table = Table(spark, "kept", schema, ["k"], path=str(tmp_path / "t"), keep_changes=True)
+    view = View(table)._each(lambda b: table.insert(b), "stream")
+    view(spark.createDataFrame([(1, 1), (2, 2)], schema), 0)
+    view(spark.createDataFrame([(2, 5)], schema), 1)
+    again = Table.open(spark, str(tmp_path / "t"))
+    assert (again.version, again.key, again.batches, again.name) == (table.version, ["k"], {"stream": 1}, "kept")
+    assert rows(again.read()) == [(1, 1), (2, 5)] and rows(again.changes()) == rows(table.changes())
+    replayed = View(again)._each(lambda b: again.insert(b), "stream")
+    replayed(spark.createDataFrame([(2, 7)], schema), 1)
+    assert rows(again.read()) == [(1, 1), (2, 5)]
+    replayed(spark.createDataFrame([(2, 7)], schema), 2)
+    assert rows(Table.open(spark, str(tmp_path / "t")).read()) == [(1, 1), (2, 7)]
+    with pytest.raises(ZeroDivisionError):
+        View(again)._each(lambda b: 1 / 0, "stream")(again.read(), 3)
+    assert again.batches == {"stream": 2}
+    again.vacuum()
+    assert rows(again.read()) == [(1, 1), (2, 7)] and not (tmp_path / "t" / "v1").exists()
