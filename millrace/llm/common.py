@@ -153,6 +153,10 @@ def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> C
         other = sys.modules.get("millrace.llm.bpe")
         if other is not None and home != other.__name__:
             other._encoders.clear()
+        hashes = sys.modules.get("millrace.llm.shingles")
+        if hashes is not None and hashes._powers:
+            hashes._powers.clear()
+            release()
         yield from f(batches)
         release()
 
