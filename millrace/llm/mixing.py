@@ -33,6 +33,8 @@ from millrace.llm.common import WORD_PATTERN, only, tidy, written
 
 WEIGHTS = (3, 1, 2)
 GROUP = 4_000
+#: so many sources are broadcast at most
+MOST_SOURCES = 10_000
 UNIT = "doc_id long, source string, size long, times long, parts long, bucket long, source_size long, target double, floor long, fraction double, done boolean"
 
 
@@ -139,21 +141,30 @@ def flight(seed: int, level: int):
     return fly
 
 
-def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = GROUP, seed: int = 0) -> DataFrame:
-    """A row for each unit of documents (doc_id, source, text): how many times it is taken (copies), and its source's numbers."""
+def planned(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> tuple[DataFrame, DataFrame]:
+    """The units of documents (doc_id, source, size, times), and a row for each source: of, source_size, target, n, and what a unit is expected, as floor and fraction."""
     units = written(sized(only(documents, "doc_id", "source", "text")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("times")), "mix-units")
-    sources = written(targets(units, weights, share, most), "mix-sources")
-    known = sources.withColumnRenamed("source", "of")
-    if sources.count() <= 10_000:
-        known = F.broadcast(known)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = (
-        units.join(known, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("parts", F.ceil(F.col("n") / group))
-        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.col("parts")))
+    sources = (
+        targets(units, weights, share, most)
         .withColumn("floor", F.floor(ratio + 1e-12))
         .withColumn("fraction", F.greatest(ratio - F.col("floor"), F.lit(0.0)))
         .withColumn("fraction", F.when(F.col("fraction") < 1e-9, 0.0).otherwise(F.col("fraction")))
+        .withColumnRenamed("source", "of")
+    )
+    return units, written(sources, "mix-sources")
+
+
+def of_source(rows: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
+    """Rows with the columns of their source's row; the sources are broadcast if they are few."""
+    return rows.join(F.broadcast(sources) if few else sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+
+
+def drawn(units: DataFrame, group: int = GROUP, seed: int = 0) -> DataFrame:
+    """Units whose source has a fraction, after all levels of flights: those taken once more than floor have fraction 1, the others 0."""
+    rows = (
+        units.withColumn("parts", F.ceil(F.col("n") / group))
+        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.col("parts")))
         .withColumn("done", F.lit(False))
         .selectExpr(*[f"CAST({x.split()[0]} AS {x.split()[1]}) AS {x.split()[0]}" for x in UNIT.split(", ")])
     )
@@ -171,7 +182,19 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     out = finished[0]
     for more in finished[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "source", "size", "times", "source_size", "target", (F.col("floor") + F.round("fraction").cast("long")).alias("copies"))
+    return out
+
+
+def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = GROUP, seed: int = 0) -> DataFrame:
+    """A row for each unit of documents (doc_id, source, text): how many times it is taken (copies), and its source's numbers.
+
+    Units of a source whose share is a whole number, as at the cap, are certain and take no part in the flights.
+    """
+    units, sources = planned(documents, weights, share, most)
+    rows = of_source(units, sources, sources.count() <= MOST_SOURCES)
+    names = ["doc_id", "source", "size", "times", "source_size", "target", "floor", "fraction"]
+    out = drawn(rows.filter("fraction > 0"), group, seed).select(*names).unionByName(rows.filter("fraction = 0").select(*names))
+    return out.select(*names[:6], (F.col("floor") + F.round("fraction").cast("long")).alias("copies"))
 
 
 def taken(documents: DataFrame) -> DataFrame:
@@ -180,14 +203,23 @@ def taken(documents: DataFrame) -> DataFrame:
     return each.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mix(documents: DataFrame, **how) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = GROUP, seed: int = 0) -> DataFrame:
     """The documents of the mix: each as many times as it is taken. Null ids and sources count as values, equal rows as units of their own, columns of any name are kept; an empty table gives an empty one.
 
-    The join is a shuffle of the documents at every size, as what the mix takes grows with them.
+    Documents of a source whose share is a whole number are taken that often where they are read; only the others meet
+    the units drawn.
     """
     names = documents.columns
-    chosen = mixed(documents, **how).filter("copies > 0").select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "size", "copies")])
-    docs = sized(documents.toDF(*[n if n in ("doc_id", "source", "text") else f"_{k}" for k, n in enumerate(names)]), name="mix_words")
+    units, sources = planned(documents, weights, share, most)
+    few = sources.count() <= MOST_SOURCES
+    whole = sources.filter("fraction = 0 AND floor > 0").select("of", F.col("floor").alias("mix_copies"))
+    split = sources.filter("fraction > 0")
+    inner = [n if n in ("doc_id", "source", "text") else f"_{k}" for k, n in enumerate(names)]
+    docs = documents.toDF(*inner)
+    certain = of_source(docs, whole, few)
+    chosen = drawn(of_source(units, split, few), group, seed).withColumn("copies", F.col("floor") + F.round("fraction").cast("long")).filter("copies > 0")
+    chosen = chosen.select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "size", "copies")])
     match = F.col("doc_id").eqNullSafe(F.col("mix_doc_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size"))
-    out = docs.join(chosen.hint("merge"), match).withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)")))
-    return out.select(*[F.col(n if n in ("doc_id", "source", "text") else f"_{k}") for k, n in enumerate(names)]).toDF(*names)
+    open_ = sized(of_source(docs, split.select("of"), few), name="mix_words").join(chosen, match)
+    both = certain.select(*inner, "mix_copies").unionByName(open_.select(*inner, "mix_copies"))
+    return both.withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)"))).select(*inner).toDF(*names)

@@ -94,6 +94,20 @@ def test_mix_repeats_rows(spark):
     assert copies == Counter({r.doc_id: r.copies for r in mixing.mixed(df).collect() if r.copies})
 
 
+def test_mix_of_whole_and_split_shares(spark):
+    docs = [(i if i % 50 else None, ("hot" if i % 3 else "few") if i % 7 else None, t, 1) for i, t in enumerate(texts(300, 4))]
+    docs += [(900, "none", "", 2), (901, "none", None, 2), (1, "hot", "again", 3), (1, "hot", "again", 3)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string, of int")
+    units = mixing.mixed(df).collect()
+    assert {r.copies for r in units if r.source == "few"} == {2} and len({r.copies for r in units if r.source == "hot"}) == 2
+    want = Counter()
+    for r in units:
+        want[(r.doc_id, r.source, r.size)] = r.copies
+    each = [(d, s, len(WORD.findall(t or ""))) for d, s, t, _ in docs]
+    assert Counter((r.doc_id, r.source, len(WORD.findall(r.text or ""))) for r in mixing.mix(df).collect()) == Counter(k for k in each for _ in range(want[k]))
+    assert mixing.mix(df.limit(0)).collect() == []
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = [(r.doc_id, r.source, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
