@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -247,6 +247,8 @@ class TrieEncoder:
         return np.concatenate(ids)
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 _encoders: dict[tuple[str, int], TrieEncoder] = {}
 
 
@@ -263,9 +265,8 @@ def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTyp
     return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 400_000) -> DataFrame:
-    """df with the token ids of its text, in one pass without a shuffle."""
-    schema = with_field(df.schema, ids, T.ArrayType(T.IntegerType(), False))
+def encoding(path: str, text: str, ids: str, remembered: int) -> Batches:
+    """Batches with the token ids of their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, remembered)
@@ -276,12 +277,11 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remem
                 flat = np.concatenate([np.empty(0, np.int32), *found])
                 yield put(part, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
-    return df.mapInArrow(tidy(run), schema)
+    return run
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """df with the text of its token ids: their bytes in a row, read as UTF-8 with U+FFFD for what isn't. Null ids give null, ids outside the vocabulary nothing."""
-    schema = with_field(df.schema, text, T.StringType())
+def decoding(path: str, ids: str, text: str) -> Batches:
+    """Batches with the text of their token ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = token_bytes(path)
@@ -299,6 +299,28 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             found = [b"".join(map(own.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace") if ok else None for a, b, ok in zip(ends, ends[1:], there)]
             yield put(batch, text, pa.array(found, pa.string()))
 
+    return run
+
+
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 400_000) -> DataFrame:
+    """df with the token ids of its text, in one pass without a shuffle."""
+    schema = with_field(df.schema, ids, T.ArrayType(T.IntegerType(), False))
+    return df.mapInArrow(tidy(encoding(path, text, ids, remembered)), schema)
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """df with the text of its token ids: their bytes in a row, read as UTF-8 with U+FFFD for what isn't. Null ids give null, ids outside the vocabulary nothing."""
+    return df.mapInArrow(tidy(decoding(path, ids, text)), with_field(df.schema, text, T.StringType()))
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", remembered: int = 400_000) -> DataFrame:
+    """df with the token ids of its text and the text they decode to, both by one worker a task: a chain of the two would hold two, each with tables of its own."""
+    there, back = encoding(path, text, ids, remembered), decoding(path, ids, decoded)
+    schema = with_field(with_field(df.schema, ids, T.ArrayType(T.IntegerType(), False)), decoded, T.StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from back(there(batches))
+
     return df.mapInArrow(tidy(run), schema)
 
 
@@ -325,7 +347,7 @@ def put(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
 
 def digests(df: DataFrame, path: str) -> DataFrame:
     """Per document: number of ids, and SHA-256 of the ids and of the decoded text."""
-    back = decode(encode(df, path).select("doc_id", "ids"), path)
+    back = round_trip(df.select("doc_id", "text"), path)
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
