@@ -45,8 +45,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether they decode to it again."""
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.round_trip(docs, tokenizer_path())
     return coded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"))
 
 
