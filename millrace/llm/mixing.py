@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from millrace.llm.common import WORD_PATTERN, only, tidy, written
+from millrace.llm.common import WORD_PATTERN, only, sieve, sifted, tidy, written
 
 WEIGHTS = (3, 1, 2)
 GROUP = 4_000
@@ -206,8 +207,10 @@ def taken(documents: DataFrame) -> DataFrame:
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = GROUP, seed: int = 0) -> DataFrame:
     """The documents of the mix: each as many times as it is taken. Null ids and sources count as values, equal rows as units of their own, columns of any name are kept; an empty table gives an empty one.
 
-    Documents of a source whose share is a whole number are taken that often where they are read; only the others meet
-    the units drawn.
+    Documents of a source whose share is a whole number are taken that often where they are read. Of the other sources the
+    draw leaves each unit at floor or one more, the unusual being the rarer of the two. A bitmap of the unusual units and
+    one of the others that it lets through too tell most documents apart where they are read; only those that are in both
+    bitmaps meet the units themselves.
     """
     names = documents.columns
     units, sources = planned(documents, weights, share, most)
@@ -217,9 +220,23 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     inner = [n if n in ("doc_id", "source", "text") else f"_{k}" for k, n in enumerate(names)]
     docs = documents.toDF(*inner)
     certain = of_source(docs, whole, few)
-    chosen = drawn(of_source(units, split, few), group, seed).withColumn("copies", F.col("floor") + F.round("fraction").cast("long")).filter("copies > 0")
-    chosen = chosen.select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "size", "copies")])
+    more = F.col("fraction") > 0.5
+    outcomes = split.select("of", (F.col("floor") + more.cast("long")).alias("mix_usual"), (F.col("floor") + (~more).cast("long")).alias("mix_unusual"))
+    chosen = drawn(of_source(units, split, few), group, seed).withColumn("copies", F.col("floor") + F.round("fraction").cast("long"))
+    chosen = of_source(chosen.select("doc_id", "source", "size", "copies"), outcomes, few)
+    unusual = written(chosen.filter("copies <> mix_usual").select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "size")]), "mix-unusual")
+    one, other = F.xxhash64(F.col("doc_id").cast("long"), "source"), F.xxhash64("source", F.col("doc_id").cast("long"))
+    bits = written(sieve(unusual, F.xxhash64("mix_doc_id", "mix_source")), "mix-bits")
+    doubtful = written(sieve(sifted(chosen.filter("copies = mix_usual"), bits, one), other), "mix-bits")
+    open_ = of_source(docs, outcomes, few)
+    untold, maybe = sifted(open_, bits, one, keep=False), sifted(open_, bits, one)
     match = F.col("doc_id").eqNullSafe(F.col("mix_doc_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size"))
-    open_ = sized(of_source(docs, split.select("of"), few), name="mix_words").join(chosen, match)
-    both = certain.select(*inner, "mix_copies").unionByName(open_.select(*inner, "mix_copies"))
+    told = sized(sifted(maybe, doubtful, other), name="mix_words").join(unusual, match, "left")
+    parts = [
+        certain,
+        untold.withColumn("mix_copies", F.col("mix_usual")),
+        sifted(maybe, doubtful, other, keep=False).withColumn("mix_copies", F.col("mix_unusual")),
+        told.withColumn("mix_copies", F.when(F.col("mix_words") == F.col("mix_size"), F.col("mix_unusual")).otherwise(F.col("mix_usual"))),
+    ]
+    both = reduce(DataFrame.unionByName, [p.select(*inner, "mix_copies") for p in parts]).filter("mix_copies > 0")
     return both.withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)"))).select(*inner).toDF(*names)
