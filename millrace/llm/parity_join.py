@@ -342,20 +342,19 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link, as links (u, v)."""
-    ends = ends_of(pairs).distinct()
-    # several rows may have the wanted id: mark and digest tell which of them has the text
-    wanted = written(ends.join(among(nodes, ends).select("node", "row"), "node").select(F.col("row.doc_id").alias("id"), F.col("row.mark").alias("of"), "node"), "wanted")
-    docs = sifted(docs, sieve(wanted, F.col("of")), F.col("mark"))
+    ends = written(ends_of(pairs).distinct(), "ends")
+    # one row has the text of a node: a bitmap of these rows lets few others through, so texts are worked on where they are read
+    rows = ends.join(among(nodes, ends).select("node", "row"), "node").select("row.doc_id", "row.mark")
+    docs = sifted(docs, sieve(rows, F.xxhash64("doc_id", "mark")), F.xxhash64("doc_id", "mark"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = shingle_sets(part.column("text"), width)
-                keep = [node_of(s) == node for s, node in zip(sets, part.column("node").to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]).filter(pa.array(keep, pa.bool_()))
+                sets = [s for s in shingle_sets(part.column("text"), width) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([f(s) for s in sets], pa.binary()) for f in (node_of, lambda s: s.tobytes())], ["node", "shingles"])
 
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["id"]) & (docs["mark"] == wanted["of"])).select("node", "text")
-    sets = written(texts.mapInArrow(tidy(shingled), "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+    sets = docs.select("text").mapInArrow(tidy(shingled), "node binary, shingles binary").dropDuplicates(["node"])
+    sets = written(sets.join(ends, "node", "left_semi"), "sets")
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +368,9 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, pe
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["u", "v"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(tidy(link), "u binary, v binary")
+    links = written(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(tidy(link), "u binary, v binary"), "verified")
+    dropped(sets, ends)
+    return links
 
 
 def linked(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
@@ -392,7 +393,7 @@ def linked(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataF
     cells = written(cells.join(among(nodes, meet).select("node", "n", "sketch"), "node"), "cells")
     nearest = written(pairs_of(cells.withColumn("label", F.lit(None).cast("binary")), percent, False), "nearest")
     nearest = written(plausible(nearest, nodes, percent), "pairs")
-    links = written(verified(nearest, docs, nodes, width, percent), "verified")
+    links = verified(nearest, docs, nodes, width, percent)
     labelled = cells.drop("sketch").join(components(links), "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     # only clusters whose nodes are in several components can add a link
     several = labelled.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("cluster")
@@ -401,7 +402,7 @@ def linked(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataF
     more = written(pairs_of(again.join(among(nodes, again).select("node", F.col("wide").alias("sketch")), "node"), percent, True), "pairs")
     dropped(again)
     if not more.isEmpty():
-        links = links.union(written(verified(more, docs, nodes, width, percent), "verified"))
+        links = links.union(verified(more, docs, nodes, width, percent))
     dropped(more)
     roots = components(links)
     placed = nodes.select("node", "row").join(roots, "node", "left").select("node", "row", F.coalesce("root", "node").alias("root"))
@@ -433,6 +434,7 @@ def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT
     stays = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("mark") == F.col("first.mark"))
     # gone rows, and rows that stay once though they are there several times
     told = written(ranked.withColumn("stays", stays).filter("NOT stays OR copies > 1").select(F.col("doc_id").alias("id"), "mark", "stays"), "told")
+    dropped(each, placed)
     own = documents.toDF(*[n if n in ("doc_id", "text") else f"_{k}" for k, n in enumerate(names)]).withColumn("hash", F.xxhash64("text"))
     same = own["doc_id"].eqNullSafe(told["id"]) & (own["hash"] == told["mark"])
     # rows that the sieve holds back are not told of: only the others are shuffled
