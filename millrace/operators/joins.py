@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 COMPARISONS = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
@@ -61,6 +62,86 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high:
     return points.withColumn("__b", bin_of(point)).join(spread, (F.col("__b") == F.col("__bin")) & inside, how).drop("__b", "__bin")
 
 
+#: types whose values a double holds exactly
+EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType, T.DateType)
+#: a tree of an inequality has 2**TREE_LEVELS leaves, for CUTS quantiles and what lies between them
+TREE_LEVELS = 9
+CUTS = 255
+
+
+def ordered_alike(a: T.DataType, b: T.DataType) -> bool:
+    """Whether values of the two types compare as their doubles do: equal doubles may hide an order, but never turn it round."""
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        # a float compared with integers or decimals may be compared in a type that rounds them
+        return T.FloatType() not in (a, b) or (isinstance(a, T.FractionalType) and isinstance(b, T.FractionalType) and not isinstance(a, T.DecimalType) and not isinstance(b, T.DecimalType))
+    return a == b and isinstance(a, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _as_double(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_date(c.cast("date")) * F.lit(86400.0) + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return c.cast("double")
+
+
+def _nodes(leaf: Column, smaller: bool, alone: Column) -> Column:
+    """The ancestors of a leaf that it is left of (smaller) or right of, and the leaf itself unless it is left alone."""
+    passed = [F.when(F.getbit(leaf, F.lit(bit)) == (0 if smaller else 1), F.shiftright(leaf, bit + 1)) for bit in range(TREE_LEVELS)]
+    return F.array_compact(F.array(*passed, F.when(~alone, leaf)))
+
+
+def inequality_join(left: DataFrame, right: DataFrame, conditions: list[tuple[Column, str, Column]]) -> DataFrame:
+    """Inner join by inequalities alone (left expression, operator, right expression), as an equi join on nodes of binary trees.
+
+    Values of the first two inequalities are dealt to the leaves of a tree each: one for each quantile, one for what lies
+    between two of them. A row of the smaller side is listed at the ancestors that its leaf is left of, one of the larger
+    side at those that its leaf is right of: rows of different leaves meet at exactly one node, and only if the inequality
+    holds. Rows of one leaf meet there and are compared. So a row is listed at most 100 times (about 25 on average), and
+    pairs that are compared in vain share a leaf, of which at most one value in 256 lies between two quantiles. Rows beyond
+    the other side's extremes are left out before, nulls match nothing. Types have to be ordered_alike, and columns of the
+    two sides must have different names.
+    """
+    names = left.columns + right.columns
+    if not conditions or len({n.lower() for n in names}) < len(names):
+        raise ValueError("an inequality join needs a condition and sides with different column names")
+    every = range(len(conditions))
+    sides = {"a": left.select("*", *[c[0].alias(f"__a{k}") for k, c in enumerate(conditions)]), "b": right.select("*", *[c[2].alias(f"__b{k}") for k, c in enumerate(conditions)])}
+    kinds = [[sides[s].schema[f"__{s}{k}"].dataType for s in "ab"] for k in every]
+    if not all(ordered_alike(*pair) for pair in kinds):
+        raise ValueError("the two types of an inequality are not ordered alike")
+    ends = {}
+    for s in "ab":
+        sides[s] = sides[s].filter(reduce(lambda x, y: x & y, [F.col(f"__{s}{k}").isNotNull() for k in every]))
+        ends[s] = sides[s].agg(F.struct(*[f(f"__{s}{k}").alias(f"{what}{k}") for k in every for what, f in (("min", F.min), ("max", F.max))])).scalar()
+    for k, (_, sign, _) in enumerate(conditions):
+        least, most = ("min", "max") if sign[0] == "<" else ("max", "min")
+        sides["a"] = sides["a"].filter(COMPARISONS[sign](F.col(f"__a{k}"), ends["b"].getField(f"{most}{k}")))
+        sides["b"] = sides["b"].filter(COMPARISONS[sign](ends["a"].getField(f"{least}{k}"), F.col(f"__b{k}")))
+    trees = every[:2]
+    for s in "ab":
+        sides[s] = sides[s].withColumns({f"__x{k}": _as_double(F.col(f"__{s}{k}"), kinds[k]["ab".index(s)]) for k in trees})
+    values = sides["a"].select(*[f"__x{k}" for k in trees]).unionByName(sides["b"].select(*[f"__x{k}" for k in trees]))
+    shares = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
+    cuts = values.agg(F.struct(*[F.array_sort(F.array_distinct(F.percentile_approx(f"__x{k}", shares, 10000))).alias(f"cuts{k}") for k in trees])).scalar()
+    steps = F.array(*[F.lit(1 << bit) for bit in range(TREE_LEVELS - 2, -1, -1)])
+    for k in trees:
+        sign, at, x = conditions[k][1], F.col(f"__cuts{k}"), F.col(f"__x{k}")
+        exact = all(isinstance(kind, EXACT) for kind in kinds[k])
+        for s in "ab":
+            # by halves: how many cuts are at most x
+            count = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.coalesce(F.get(at, n + step - 1) <= x, F.lit(False)), n + step).otherwise(n))  # noqa: B023
+            met = sides[s].withColumn(f"__cuts{k}", cuts.getField(f"cuts{k}")).withColumn(f"__c{k}", count).withColumn(f"__q{k}", F.coalesce(F.get(at, F.col(f"__c{k}") - 1) == x, F.lit(False)))
+            met = met.withColumn(f"__leaf{k}", F.lit(1 << TREE_LEVELS) + 2 * F.col(f"__c{k}") - F.col(f"__q{k}").cast("int"))
+            # equal values of a leaf of one value don't meet by < or >
+            alone = F.col(f"__q{k}") & F.lit(exact and len(sign) == 1)
+            sides[s] = met.withColumn(f"__node{k}", F.explode(_nodes(F.col(f"__leaf{k}"), (sign[0] == "<") == (s == "a"), alone))).drop(f"__cuts{k}", f"__c{k}", f"__q{k}", f"__leaf{k}", f"__x{k}")
+    holds = reduce(lambda x, y: x & y, [COMPARISONS[sign](F.col(f"__a{k}"), F.col(f"__b{k}")) for k, (_, sign, _) in enumerate(conditions)])
+    return sides["a"].join(sides["b"], [f"__node{k}" for k in trees]).filter(holds).select(*[F.col(f"`{n}`") for n in names])
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], times: tuple[str, str], before: str, after: str, how: str = "inner") -> DataFrame:
     """Equi join whose right time lies within [left time - before, left time + after]; on watermarked streams the range lets Spark drop old state."""
     lt, rt = times

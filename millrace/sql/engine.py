@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import python
-from millrace.operators.joins import asof_join
+from millrace.operators.joins import COMPARISONS, asof_join, inequality_join, ordered_alike
 from millrace.operators.time import gap_fill
 from millrace.sources.tables import Table
-from millrace.sql.dialect import Known, Translator, expression, knowing, query
+from millrace.sql.dialect import Known, Translator, expression, knowing, query, tokens
 
 _STATEMENTS: list[tuple[re.Pattern, str]] = []
 
@@ -33,6 +33,13 @@ ASOF = re.compile(
     (?P<right>[\w.]+)(?:\s+(?:as\s+)?(?P<b>(?!on\b)\w+))?\s+on\s+(?P<on>.*?)(?P<rest>\b(?:where|group\s+by|order\s+by|limit)\b.*)?;?\s*$""",
     re.X,
 )
+THETA = re.compile(
+    r"""(?is)^\s*select\s+(?P<items>(?:(?!\bfrom\b).)*?)\s+from\s+(?P<left>\w+)(?:\s+(?:as\s+)?(?P<a>(?!inner\b|join\b)\w+))?\s+(?:inner\s+)?join\s+
+    (?P<right>\w+)(?:\s+(?:as\s+)?(?P<b>(?!on\b)\w+))?\s+on\s+(?P<on>.*?)(?P<rest>\b(?:where|group\s+by|having|order\s+by|limit)\b.*)?;?\s*$""",
+    re.X,
+)
+#: words by which a text is no plain join of two tables by comparisons
+BEYOND = {"select", "join", "left", "right", "full", "cross", "natural", "lateral", "union", "intersect", "except", "or", "not", "between", "case", "like", "ilike", "in", "is", "exists", "using", "tablesample"}
 NAME = r'(?:if\s+(?:not\s+)?exists\s+)?(?P<name>"?[\w.]+"?)'
 
 
@@ -66,6 +73,8 @@ class Engine:
         text = self._changelogs(text)
         if m := ASOF.match(text):
             return self._asof(m)
+        if (m := THETA.match(text)) and (joined := self._theta(m)) is not None:
+            return joined
         return self.spark.sql(query(text))
 
     def _integers(self, text: str) -> set[str]:
@@ -160,6 +169,68 @@ class Engine:
         items = re.sub(r"^\s*\*\s*$", f"{a}.*, {b}.*", m["items"])
         return self._sql(f"SELECT {items} FROM {view} {m['rest']}")
 
+    def _theta(self, m: re.Match) -> DataFrame | None:
+        """A join of two tables by inequalities alone, planned by the operator instead of as a nested loop; None if the text is anything else."""
+        a, b = m["a"] or m["left"], m["b"] or m["right"]
+        if '"' in m[0] or a.lower() == b.lower() or not all(self.spark.catalog.tableExists(m[side]) for side in ("left", "right")):
+            return None
+        found = [(kind, value.lower() if kind == "name" else value) for kind, value in tokens(m["on"])]
+        outside = [value.lower() for kind, value in tokens(f"{m['items']} {m['rest'] or ''}") if kind == "name"]
+        if BEYOND & {v for kind, v in found if kind == "name"} or {"select", "join", "union", "intersect", "except"} & set(outside):
+            return None
+        frames = {a.lower(): self.spark.table(m["left"]).alias(a), b.lower(): self.spark.table(m["right"]).alias(b)}
+        if any(f.isStreaming for f in frames.values()):
+            return None
+        columns = {side: {c.lower() for c in f.columns} for side, f in frames.items()}
+        parts: list[list[tuple[str, str]]] = [[]]
+        for token in found:
+            if token == ("name", "and"):
+                parts.append([])
+            else:
+                parts[-1].append(token)
+        conditions = []
+        for part in parts:
+            signs = [k for k, (kind, v) in enumerate(part) if kind == "op" and v in COMPARISONS]
+            if len(signs) != 1 or any(kind not in ("name", "number", "op", "punct") or (kind == "op" and v in ("=", "<>", "!=")) or v in ("(", ")") for kind, v in part):
+                return None
+            ends = []
+            for piece in (part[: signs[0]], part[signs[0] + 1 :]):
+                sides = set()
+                for k, (kind, v) in enumerate(piece):
+                    if kind != "name" or (k + 1 < len(piece) and piece[k + 1][1] == "."):
+                        continue
+                    of = {piece[k - 2][1]} if k > 1 and piece[k - 1][1] == "." else {side for side in columns if v in columns[side]}
+                    if len(of) != 1 or not of <= set(columns) or v not in columns[min(of)]:
+                        return None
+                    sides |= of
+                if len(sides) != 1:
+                    return None
+                ends.append((sides.pop(), F.expr(expression(" ".join(v for _, v in piece).replace(" . ", ".")))))
+            sign = part[signs[0]][1]
+            if ends[0][0] == ends[1][0]:
+                return None
+            if ends[0][0] == b.lower():
+                ends, sign = ends[::-1], {"<": ">", ">": "<", "<=": ">=", ">=": "<="}[sign]
+            conditions.append((ends[0][1], sign, ends[1][1]))
+        left, right = frames[a.lower()], frames[b.lower()]
+        if not all(ordered_alike(left.select(x).schema[0].dataType, right.select(y).schema[0].dataType) for x, _, y in conditions):
+            return None
+        # only what the text names is carried along; a side is a struct under its alias, as for as-of joins
+        whole = re.search(r"(?:^|[,.])\s*\*", m["items"])
+        common = columns[a.lower()] & columns[b.lower()]
+        picked = []
+        for n, (side, frame) in enumerate(((a, left), (b, right))):
+            named = [c for c in frame.columns if whole or c.lower() in outside]
+            flat = [F.col(f"`{side}`.`{c}`").alias(f"__{n}_{c}") for c in named]
+            keys = [c[2 * n].alias(f"__{n}_key{k}") for k, c in enumerate(conditions)]
+            picked.append((side, named, frame.select(*flat, *keys)))
+        joined = inequality_join(picked[0][2], picked[1][2], [(F.col(f"__0_key{k}"), sign, F.col(f"__1_key{k}")) for k, (_, sign, _) in enumerate(conditions)])
+        structs = [F.struct(*[F.col(f"`__{n}_{c}`").alias(c) for c in named] or [F.lit(None).alias("__none")]).alias(side) for n, (side, named, _) in enumerate(picked)]
+        alone = [F.col(f"`__{n}_{c}`").alias(c) for n, (side, named, _) in enumerate(picked) for c in named if c.lower() not in common | {a.lower(), b.lower()}]
+        view = self._view(joined.select(*structs, *alone))
+        items = re.sub(r"^\s*\*\s*$", f"{a}.*, {b}.*", m["items"])
+        return self.spark.sql(query(f"SELECT {items} FROM {view} {m['rest'] or ''}"))
+
     def script(self, text: str) -> list[DataFrame]:
         parts, held, quote = [], "", None
         for c in text:
