@@ -192,8 +192,8 @@ sum0 = coalesce(sum({0}), 0)
 string_agg = listagg({0}, {1})
 bool_and = bool_and({0})
 jsonb_object_agg = to_json(map_from_entries(collect_list(struct({0}, {1}))))
-arg_min = min_by({0}, {1})
-arg_max = max_by({0}, {1})
+arg_min = min_by({0}, CASE WHEN {0} IS NOT NULL THEN {1} END)
+arg_max = max_by({0}, CASE WHEN {0} IS NOT NULL THEN {1} END)
 var_pop = var_pop({0})
 stddev_pop = stddev_pop({0})
 approx_percentile = percentile_approx({0}, {1})

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from millrace.functions import python
 from millrace.operators.joins import COMPARISONS, asof_join, inequality_join, ordered_alike
 from millrace.operators.time import gap_fill
 from millrace.sources.tables import Table
-from millrace.sql.dialect import Known, Translator, expression, knowing, query, tokens
+from millrace.sql.dialect import TOKEN, Known, Translator, expression, knowing, query, tokens
 
 _STATEMENTS: list[tuple[re.Pattern, str]] = []
 
@@ -40,6 +41,13 @@ THETA = re.compile(
 )
 #: words by which a text is no plain join of two tables by comparisons
 BEYOND = {"select", "join", "left", "right", "full", "cross", "natural", "lateral", "union", "intersect", "except", "or", "not", "between", "case", "like", "ilike", "in", "is", "exists", "using", "tablesample"}
+#: words that end the FROM clause of one table, and those that end its WHERE clause
+ENDS = {"where", "group", "having", "order", "limit", "offset", "fetch", "window", ";"}
+#: a row's place in a table: its file, the block of the file and its number there; in reverse, letters of the file's name are those that sort the other way
+PLACES = {
+    "__place": "struct(input_file_name() AS f, input_file_block_start() AS b, monotonically_increasing_id() AS n)",
+    "__place_back": "struct(concat(translate(hex(input_file_name()), '0123456789ABCDEF', 'FEDCBA9876543210'), 'G') AS f, -input_file_block_start() AS b, -monotonically_increasing_id() AS n)",
+}
 NAME = r'(?:if\s+(?:not\s+)?exists\s+)?(?P<name>"?[\w.]+"?)'
 
 
@@ -75,6 +83,9 @@ class Engine:
             return self._asof(m)
         if (m := THETA.match(text)) and (joined := self._theta(m)) is not None:
             return joined
+        if re.search(r"(?i)\barg_(min|max)\s*\(", text) and (placed := self._placed(text)):
+            with knowing(Known(self._integers(text), relations={"gap_fill": self._gap_fill}, places=tuple(PLACES))):
+                return self.spark.sql(query(placed))
         return self.spark.sql(query(text))
 
     def _integers(self, text: str) -> set[str]:
@@ -231,6 +242,41 @@ class Engine:
         items = re.sub(r"^\s*\*\s*$", f"{a}.*, {b}.*", m["items"])
         return self.spark.sql(query(f"SELECT {items} FROM {view} {m['rest'] or ''}"))
 
+    def _placed(self, text: str) -> str | None:
+        """A query of one table, reading a view of it that holds each row's place, so that the first of tied rows can be told; None if the text is anything else."""
+        found = [m for m in TOKEN.finditer(text) if m.lastgroup != "space"]
+        words = [m[0].lower() for m in found] + [";"] * 3
+        deep, depth = [], 0
+        for w in words:
+            depth -= w in (")", "]")
+            deep.append(depth)
+            depth += w in ("(", "[")
+        froms = [k for k, w in enumerate(words) if w == "from" and deep[k] == 0]
+        if words[0] != "select" or len(froms) != 1 or {"join", "union", "intersect", "except"} & set(words) or words.count("select") > 1 or any(m.lastgroup == "quoted" for m in found):
+            return None
+        if any(w == "*" and words[k - 1] in ("select", "distinct", ",", ".") for k, w in enumerate(words)):
+            return None
+        at = froms[0] + 1
+        table = alias = words[at]
+        k = at + 1
+        if words[k] not in ENDS:
+            k += words[k] == "as"
+            alias, k = words[k], k + 1
+        if words[k] not in ENDS or not re.fullmatch(r"\w+", alias) or not re.fullmatch(r"\w+", table) or not self.spark.catalog.tableExists(table):
+            return None
+        frame = self.spark.table(table).alias(alias)
+        if frame.isStreaming or set(PLACES) & {c.lower() for c in frame.columns}:
+            return None
+        end = k
+        if words[k] == "where":  # stays below the places, from where it can reach the files
+            end = next(n for n in range(k + 1, len(words)) if words[n] in ENDS and deep[n] == 0)
+            frame = frame.where(expression(text[found[k].end() : found[end - 1].end()]))
+        try:
+            view = self._view(frame.selectExpr("*", *[f"{place} AS {name}" for name, place in PLACES.items()]))
+        except AnalysisException:  # a view of several tables: its rows have no place
+            return None
+        return f"{text[: found[froms[0]].start()]} FROM {view} AS {alias} {text[found[end].start() :] if end < len(found) else ''}"
+
     def script(self, text: str) -> list[DataFrame]:
         parts, held, quote = [], "", None
         for c in text:
