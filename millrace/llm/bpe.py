@@ -4,7 +4,9 @@ The words of a batch (pre-tokens, as bytes) are sorted, which lays their trie ou
 path is the stack of its prefixes, and the part it shares with its predecessor is kept. Each node holds one state, the
 last token of the encoding of its prefix. That suffices: the encoding of a prefix of length i ends with the one token t
 that is a suffix of the prefix and may follow the last token of the prefix before it, so a node costs a few look-ups
-however deep it lies, and shared prefixes are encoded once. Walking back over the states gives a word's ids.
+however deep it lies, and shared prefixes are encoded once. Walking back over the states gives a word's ids. Nodes of a
+depth don't depend on each other, so numpy works on them together; words beyond REMEMBERED_BYTES, which are few and may
+be very deep, are walked one node at a time.
 
 Null text counts as empty; an empty text has no ids. The strings of added tokens inside a text become their ids, as the
 tokenizers library has it. Long texts are read as a stream of words, and remembered words are bounded by
@@ -14,6 +16,7 @@ tokenizers library has it. Long texts are read as a stream of words, and remembe
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -29,6 +32,10 @@ from millrace.llm.common import tidy
 
 #: The byte-level pre-token rule of this family of vocabularies (fixed value).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+#: Its classes of characters: letters, numbers, blanks, others. None overlap.
+CLASSES = {"L": r"\p{L}", "N": r"\p{N}", "W": r"\p{White_Space}", "P": r"[^\p{White_Space}\p{L}\p{N}]"}
+#: Words whose trie is walked level by level at once.
+LEVEL_WORDS = 1 << 15
 #: Longer words are encoded but not remembered.
 REMEMBERED_BYTES = 48
 #: Characters of text whose words are held at once.
@@ -52,6 +59,17 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return found | {i: s.encode() for s, i in added.items()}
 
 
+def plane_rule() -> re.Pattern:
+    """PRE_TOKEN for texts of 16-bit characters, with its classes written out for the faster engine of the standard library."""
+    plane = "".join(map(chr, range(1 << 16)))
+    own = {}
+    for name, rule in CLASSES.items():
+        runs = (m.span() for m in regex.finditer(f"(?:{rule})+", plane))
+        own[name] = "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in runs)
+    # letters and numbers go first, which changes nothing: where they match, the alternatives they have overtaken don't
+    return re.compile(" ?[{L}]+| ?[{N}]+|'(?:[stmd]|re|ve|ll)| ?[{P}]+|[{W}]+(?![^{W}])|[{W}]+".format(**own))
+
+
 class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -107,10 +125,32 @@ class Vocabulary:
                 until, right = made_right + 1, self.parts[right][0]
 
 
+class Recall:
+    """Answers to keys, as far as 2**bits places hold them: a key takes the place of another there. Keys are not negative."""
+
+    def __init__(self, bits: int) -> None:
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+
+    def __call__(self, keys: np.ndarray, compute: Callable[[list[int]], list]) -> np.ndarray:
+        place = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        found = self.values[place].astype(np.int64)
+        missed = np.flatnonzero(self.keys[place] != keys)
+        if len(missed):
+            wanted, which = np.unique(keys[missed], return_inverse=True)
+            computed = np.array(compute(wanted.tolist()), np.int64)
+            found[missed] = computed[which]
+            # keys and values are written alike, so that the last of two keys at a place leaves both of its own
+            own = (wanted.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+            _, one = np.unique(own, return_index=True)
+            self.keys[own[one]], self.values[own[one]] = wanted[one], computed[one]
+        return found
+
+
 class TrieEncoder:
     def __init__(self, path: str, remembered: int = 400_000) -> None:
         self.vocabulary = Vocabulary(path)
-        self.words = regex.compile(PRE_TOKEN)
+        self.words, self.plane_words = regex.compile(PRE_TOKEN), plane_rule()
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
         self.remembered = remembered
@@ -119,6 +159,11 @@ class TrieEncoder:
         self._beginnings = {b[:k] for b in self.vocabulary.id_of for k in range(len(b) + 1)}
         self._texts, self._states, self._tokens = [b""], {b"": 0}, [()]
         self._steps: dict[int, int] = {}
+        #: the same for whole levels: the tokens of all states in a row, and where each state's begin
+        self._tried, self._first, self._listed = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 1
+        self._size_of = np.zeros(max(self.vocabulary.bytes_of, default=0) + 1, np.int64)
+        self._size_of[list(self.vocabulary.sizes)] = list(self.vocabulary.sizes.values())
+        self._stepped, self._followed = Recall(17), Recall(20)
 
     def _step(self, key: int) -> int:
         """The state after one more byte: the longest end of what was read that begins a token. Computed when first needed."""
@@ -175,12 +220,96 @@ class TrieEncoder:
             ids.reverse()
             yield tuple(ids)
 
+    def encode_levels(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Likewise the ids in a row and where each word's end: the nodes of a depth are worked on together, each once."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(lengths.max(initial=1))
+        letters = np.array(words, f"S{width}").view(np.uint8).reshape(len(words), width)
+        shared = np.zeros(len(words), np.int64)  # bytes in common with the word before
+        other = letters[1:] != letters[:-1]
+        shared[1:] = np.minimum(np.where(other.any(1), other.argmax(1), width), np.minimum(lengths[1:], lengths[:-1]))
+        last = np.full((width + 1, len(words)), -1, np.int32)
+        states = np.zeros(len(words), np.int64)
+        alive = np.arange(len(words))
+        for end in range(1, width + 1):
+            alive = alive[lengths[alive] >= end]
+            new = shared[alive] < end
+            nodes = alive[new]
+            state = self._transitions(states[nodes] << 8 | letters[nodes, end - 1])
+            token, left, turn = np.empty(len(nodes), np.int32), np.arange(len(nodes)), 0
+            at, ends = self._first[state], self._first[state + 1]
+            while len(left):  # longest first; exactly one may stand here
+                place = at[left] + turn
+                if (place >= ends[left]).any():
+                    raise ValueError(f"the vocabulary can't encode {words[nodes[left[0]]][:end]!r}")
+                tried = self._tried[place]
+                size = self._size_of[tried]
+                fits = size == end
+                rest = np.flatnonzero(~fits)
+                fits[rest] = self._follow(last[end - size[rest], nodes[left[rest]]], tried[rest])
+                token[left[fits]] = tried[fits]
+                left, turn = left[~fits], turn + 1
+            group = np.cumsum(new) - 1
+            last[end, alive] = token[group]
+            states[alive] = state[group]
+        # back over the states
+        rounds, at, rows = [], lengths.copy(), np.flatnonzero(lengths)
+        counts = np.zeros(len(words), np.int64)
+        while len(rows):
+            token = last[at[rows], rows]
+            rounds.append((rows, token))
+            counts[rows] += 1
+            at[rows] -= self._size_of[token]
+            rows = rows[at[rows] > 0]
+        ends = np.cumsum(counts)
+        flat = np.empty(int(counts.sum()), np.int32)
+        for k, (rows, token) in enumerate(rounds):
+            flat[ends[rows] - 1 - k] = token
+        return flat, ends
+
+    def _transitions(self, keys: np.ndarray) -> np.ndarray:
+        """The state that follows for each key, a state and a byte."""
+
+        def computed(wanted: list[int]) -> list[int]:
+            found = []
+            for key in wanted:
+                state = self._steps.get(key)
+                found.append(self._step(key) if state is None else state)
+            return found
+
+        found = self._stepped(keys, computed)
+        for state in range(self._listed, len(self._tokens)):
+            tokens = [i for _, i in self._tokens[state]]
+            begin = int(self._first[state])
+            if begin + len(tokens) > len(self._tried):
+                self._tried = np.concatenate([self._tried, np.zeros(len(self._tried) + len(tokens), np.int32)])
+            if state + 2 > len(self._first):
+                self._first = np.concatenate([self._first, np.zeros(len(self._first), np.int64)])
+            self._tried[begin : begin + len(tokens)] = tokens
+            self._first[state + 1] = begin + len(tokens)
+        self._listed = len(self._tokens)
+        return found
+
+    def _follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        holds, until = self.vocabulary._seam_holds, len(self.vocabulary.rank)
+        return self._followed(left.astype(np.int64) << 20 | right, lambda keys: [holds(k >> 20, k & 0xFFFFF, until) for k in keys]).astype(bool)
+
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > self.remembered:
             self.known = {}
-        by_bytes = sorted((w.encode("utf-8", "surrogatepass"), w) for w in words)
-        for (_, word), ids in zip(by_bytes, self.encode_sorted([b for b, _ in by_bytes]), strict=True):
-            self.known[word] = array("i", ids).tobytes()
+        known, in_order = self.known, sorted(words)  # by code points, which is the order of their bytes
+        by_bytes = [w.encode("utf-8", "surrogatepass") for w in in_order]
+        if any(len(b) > REMEMBERED_BYTES for b in by_bytes):
+            long = [k for k, b in enumerate(by_bytes) if len(b) > REMEMBERED_BYTES]
+            for k, ids in zip(long, self.encode_sorted([by_bytes[k] for k in long]), strict=True):
+                known[in_order[k]] = array("i", ids).tobytes()
+            in_order, by_bytes = [w for w, b in zip(in_order, by_bytes) if len(b) <= REMEMBERED_BYTES], [b for b in by_bytes if len(b) <= REMEMBERED_BYTES]
+        for k in range(0, len(in_order), LEVEL_WORDS):
+            flat, ends = self.encode_levels(by_bytes[k : k + LEVEL_WORDS])
+            raw, begin = flat.tobytes(), 0
+            for word, end in zip(in_order[k : k + LEVEL_WORDS], (4 * ends).tolist()):
+                known[word] = raw[begin:end]
+                begin = end
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -203,20 +332,23 @@ class TrieEncoder:
 
     def _split(self, text: str) -> list:
         """Words, with the ids of added tokens between them."""
+        plain = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+        words = self.plane_words if plain else self.words
         if self.added is None or not self.added.search(text):
-            return self.words.findall(text)
+            return words.findall(text)
         found: list = []
         for piece in self.added.split(text):
             token = self.vocabulary.added.get(piece)
-            found += self.words.findall(piece) if token is None else [token]
+            found += words.findall(piece) if token is None else [token]
         return found
 
     def _encode_held(self, held: list[list]) -> list[np.ndarray]:
-        new = set(chain.from_iterable(held)).difference(self.known)
-        new = {w for w in new if isinstance(w, str)}
-        lost = self.known if len(self.known) + len(new) <= self.remembered else None
-        if lost is None:  # start over, with all words of these texts
-            new = {w for w in chain.from_iterable(held) if isinstance(w, str)}
+        new = {w for w in set(chain.from_iterable(held)).difference(self.known) if isinstance(w, str)}
+        if len(self.known) + len(new) > self.remembered:  # start over, with the words of these texts
+            words = {w for w in set(chain.from_iterable(held)) if isinstance(w, str)}
+            self.known = {w: self.known[w] for w in words - new}
+            if len(words) > self.remembered:
+                new = words
         self.learn(new)
         known = self.known
         out = []
